@@ -15,14 +15,16 @@ def first_nonempty(*arrays: Column) -> Column:
 def kv_map(labels: Column, values: Column) -> Column:
     """Label -> value; of repeated labels the last one counts, null labels are left out."""
     pairs = F.arrays_zip(labels.alias("label"), values.alias("value"))
-    last = F.filter(
-        pairs,
-        lambda pair, i: pair["label"].isNotNull()
-        & ~F.exists(
-            F.slice(pairs, i + F.lit(2), F.size(pairs)), lambda later: later["label"] == pair["label"]
-        ),
-    )
-    return F.map_from_entries(last)
+    last_first = F.reverse(F.filter(pairs, lambda pair: pair["label"].isNotNull()))
+
+    def first_of_each(kept: Column) -> Column:
+        return F.filter(
+            kept,
+            lambda pair, i: F.array_position(F.transform(kept, lambda p: p["label"]), pair["label"]) == i + 1,
+        )
+
+    # A one-element array names the reversed pairs, so they are built once per row.
+    return F.transform(F.array(last_first), lambda kept: F.map_from_entries(first_of_each(kept)))[0]
 
 
 def join_list(items: Column, separator: str = "; ") -> Column:

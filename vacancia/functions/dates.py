@@ -6,12 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 TEXT_FORMAT = "yyyy-MM-dd HH:mm:ss"
-_SLASH = r"^\d{1,2}/\d{1,2}/\d{4}"
-_SLASH_ONLY = _SLASH + "$"
-
-
-def _try(col: Column, fmt: str) -> Column:
-    return F.try_to_timestamp(col, F.lit(fmt))
+_FULL = r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}:\d{2}"
+_SLASH = r"^(\d{1,2})/(\d{1,2})/(\d{4})(?:( \d{2}:\d{2}:\d{2}).*)?$"
 
 
 def to_ts(col: Column) -> Column:
@@ -20,22 +16,24 @@ def to_ts(col: Column) -> Column:
     ISO with `T`; `Y-m-d H:M:S`; slashes, day first where the first part exceeds 12; epoch in
     milliseconds (13 digits) or seconds (10 digits); whatever a plain cast accepts. A zone offset
     after a full ISO time is not applied.
+
+    The shape is settled by pattern first and the value then cast: a format that does not fit would
+    cost an exception per row.
     """
     c = F.trim(col)
-    head = F.substring(c, 1, 19)
-    first = F.split(c, "/")[0].try_cast("int")
-    slash_time = F.when(first > 12, _try(head, "d/M/yyyy HH:mm:ss")).otherwise(
-        _try(head, "M/d/yyyy HH:mm:ss")
+    day_first = F.split_part(c, F.lit("/"), F.lit(1)).try_cast("int") > 12
+    slash = F.when(day_first, F.regexp_replace(c, _SLASH, "$3-$2-$1$4")).otherwise(
+        F.regexp_replace(c, _SLASH, "$3-$1-$2$4")
     )
-    slash_date = F.when(first > 12, _try(c, "d/M/yyyy")).otherwise(_try(c, "M/d/yyyy"))
-    return F.coalesce(
-        F.when(c.contains("T"), _try(F.regexp_replace(head, "T", " "), TEXT_FORMAT)),
-        F.when(c.rlike(r"^\d{4}-\d{2}-\d{2}"), _try(head, TEXT_FORMAT)),
-        F.when(c.rlike(_SLASH), slash_time),
-        F.when(c.rlike(_SLASH_ONLY), slash_date),
-        F.when(c.rlike(r"^\d{13}$"), F.timestamp_millis(c.try_cast("bigint"))),
-        F.when(c.rlike(r"^\d{10}$"), F.timestamp_seconds(c.try_cast("bigint"))),
-        F.try_to_timestamp(c),
+    return (
+        F.when(
+            c.rlike(_FULL),
+            F.coalesce(F.substring(c, 1, 19).try_cast("timestamp"), c.try_cast("timestamp")),
+        )
+        .when(c.rlike(_SLASH), slash.try_cast("timestamp"))
+        .when(c.rlike(r"^\d{13}$"), F.timestamp_millis(c.try_cast("bigint")))
+        .when(c.rlike(r"^\d{10}$"), F.timestamp_seconds(c.try_cast("bigint")))
+        .otherwise(c.try_cast("timestamp"))
     )
 
 

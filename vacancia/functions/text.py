@@ -10,6 +10,9 @@ from vacancia import fixed_values as V
 # A run of cased letters, or a run of anything else.
 _CASED_RUNS = r"([\p{Lu}\p{Ll}\p{Lt}]+|[^\p{Lu}\p{Ll}\p{Lt}]+)"
 
+# White space that is not a single plain space already.
+_TO_COLLAPSE = r"\s{2,}|[\t\n\x0B\f\r]"
+
 
 def is_present(col: Column) -> Column:
     """Neither null nor one of the words that stand for an empty value."""
@@ -27,8 +30,15 @@ def country_ok(col: Column) -> Column:
 
 
 def clean_html(col: Column) -> Column:
-    """Tags become a space, white space collapses, ends are trimmed. Entities stay as they are."""
-    return F.trim(F.regexp_replace(F.regexp_replace(col, "<[^>]+>", " "), r"\s+", " "))
+    """Tags become a space, white space collapses, ends are trimmed. Entities stay as they are.
+
+    Each replacement rebuilds the text, so texts without a tag or without a run to collapse skip it.
+    """
+    untagged = F.when(col.contains("<"), F.regexp_replace(col, "<[^>]+>", " ")).otherwise(col)
+    collapsed = F.when(
+        untagged.rlike(_TO_COLLAPSE), F.regexp_replace(untagged, _TO_COLLAPSE, " ")
+    ).otherwise(untagged)
+    return F.trim(collapsed)
 
 
 def clean_or(col: Column, default: str) -> Column:
@@ -61,7 +71,9 @@ def map_city(col: Column, names: dict[str, str] | None = None) -> Column:
     """Known spelling -> city name (lower-cased key first, then the exact one), else title case."""
     names = V.CITY_NAMES if names is None else names
     city = F.trim(col)
-    table = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    # One literal that Spark folds into a map, instead of an expression per spelling.
+    pairs = "\x01".join(f"{spelling}\x02{name}" for spelling, name in names.items())
+    table = F.str_to_map(F.lit(pairs), F.lit("\x01"), F.lit("\x02"))
     known = F.try_element_at(table, F.lower(city))
     if any(key != key.lower() for key in names):
         known = F.coalesce(known, F.try_element_at(table, city))

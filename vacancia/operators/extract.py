@@ -82,10 +82,12 @@ def lookup_entity(entities: Column, entity_id: Column) -> Column:
 def nested_records(pages: DataFrame, stamp: str, batch_id: str) -> DataFrame:
     """Fetched posting pages (`url`, `html`) -> raw records of the nested shape."""
     stores = pages.select("url", page_state(F.col("html")).alias("_store"))
-    picked = stores.select("url", "_store", pick_entity(F.col("_store"), F.col("url")).alias("_job"))
+    # Exploded, not filtered: a filter would be pushed below and parse each page again.
+    job = F.array_compact(F.array(pick_entity(F.col("_store"), F.col("url"))))
+    picked = stores.select("url", "_store", F.explode(job).alias("_job"))
     company_id = F.col("_job")["value"]["relationships"]["company"]["data"]["id"]
     company = lookup_entity(F.col("_store")["entities"]["company"]["collection"], company_id)
-    return picked.filter(F.col("_job").isNotNull()).select(
+    return picked.select(
         slug_id(F.col("url")).alias("job_id"),
         F.col("url").alias("job_url"),
         F.col("_job")["key"].alias("wuzzuf_job_id"),
