@@ -2,7 +2,7 @@
 
 
 def _load():
-    from checks import frontier, registry  # noqa: F401
+    from checks import bronze_silver, frontier, gold_serving, registry  # noqa: F401
 
     return registry
 

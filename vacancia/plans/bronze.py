@@ -31,7 +31,7 @@ def landed_postings(spark: SparkSession, folder: str, latest_only: bool = False)
             files = latest_per_source(landing_files(spark, folder, [prefix]))
             paths = [row["path"] for row in files.select("path").collect()]  # at most one
         else:
-            paths = [f"{folder}/{_any_case(prefix)}*.[jJ][sS][oO][nN]"]
+            paths = [f"{folder}/{any_case(prefix)}*.[jJ][sS][oO][nN]"]
         if not paths:
             continue
         try:
@@ -44,13 +44,13 @@ def landed_postings(spark: SparkSession, folder: str, latest_only: bool = False)
     return unify(*parts)
 
 
-def _any_case(prefix: str) -> str:
+def any_case(prefix: str) -> str:
     return "".join(f"[{c.lower()}{c.upper()}]" for c in prefix)
 
 
 def corrupt_pieces(spark: SparkSession, folder: str) -> DataFrame:
     """Text of the landed pieces that are no JSON, with their file."""
-    paths = [f"{folder}/{_any_case(p)}*.[jJ][sS][oO][nN]" for p in SHAPES]
+    paths = [f"{folder}/{any_case(p)}*.[jJ][sS][oO][nN]" for p in SHAPES]
     raw = read_postings(spark, paths, S.RAW_FLAT_A)
     return raw.filter("_corrupt_record IS NOT NULL").select("_source_file", "_corrupt_record")
 

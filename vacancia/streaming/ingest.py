@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from vacancia.context import RunContext
-from vacancia.plans.bronze import SHAPES
+from vacancia.plans.bronze import SHAPES, any_case
 from vacancia.plans.silver import silver_batch
 from vacancia.sources.landing import RECORD_SEPARATOR, parse_pieces
 from vacancia.sources.tables import append_once, upsert_table, with_ingest_metadata, write_batch
@@ -17,12 +17,12 @@ from vacancia.sources.tables import append_once, upsert_table, with_ingest_metad
 def ingest_stream(
     spark: SparkSession,
     landing: str,
-    prefix: str,
     schema: T.StructType,
+    pattern: str,
     archive: str | None = None,
     max_files: int = 1000,
 ) -> DataFrame:
-    """Records of landed files as a stream, each with its file.
+    """Records of landed files whose name fits the pattern, as a stream, each with its file.
 
     Which files were read is kept by the query's checkpoint. With `archive` Spark moves finished
     files there, one batch later; the folder must lie outside the landing folder.
@@ -30,7 +30,7 @@ def ingest_stream(
     reader = (
         spark.readStream.format("text")
         .option("lineSep", RECORD_SEPARATOR)
-        .option("pathGlobFilter", f"{prefix}*.json")
+        .option("pathGlobFilter", pattern)
         .option("maxFilesPerTrigger", max_files)
     )
     if archive:
@@ -39,10 +39,12 @@ def ingest_stream(
     return parse_pieces(pieces, schema)
 
 
-def bronze_stream(spark: SparkSession, landing: str, prefix: str, archive: str | None = None) -> DataFrame:
+def bronze_stream(
+    spark: SparkSession, landing: str, prefix: str, archive: str | None = None, pattern: str | None = None
+) -> DataFrame:
     """Records of one source in the Bronze columns."""
     schema, mapping = SHAPES[prefix]
-    raw = ingest_stream(spark, landing, prefix, schema, archive)
+    raw = ingest_stream(spark, landing, schema, pattern or f"{any_case(prefix)}*.[jJ][sS][oO][nN]", archive)
     return mapping(raw.filter(F.col("_corrupt_record").isNull()))
 
 
@@ -56,8 +58,9 @@ def _start(df: DataFrame, checkpoint: str, write) -> StreamingQuery:
 
 
 def _micro(ctx: RunContext, name: str, epoch: int) -> RunContext:
-    """A micro-batch is a batch of its own; a replayed one has the same name again."""
-    return RunContext(ctx.load_date, f"{ctx.batch_id}.{name}.{epoch}", ctx.now)
+    """A micro-batch is a batch of its own. Stream and epoch name it, not the run: a micro-batch that
+    is replayed after a restart replaces itself. Restart a failed run under its own load date."""
+    return RunContext(ctx.load_date, f"{name}.{epoch}", ctx.now)
 
 
 def bronze_writer(rows: DataFrame, path: str, checkpoint: str, ctx: RunContext, name: str) -> StreamingQuery:
