@@ -113,38 +113,37 @@ def _(spark, sf_dir):
     return counts.groupBy("records").agg(F.count(F.lit(1)).alias("files"))
 
 
-@check("a7_write_batch", f"{Q.WITH_RAW} SELECT source, '2030-01-02' AS day, count(*) AS n FROM raw WHERE k % 2 = 0 GROUP BY 1, 2")
+@check("a7_write_batch", f"{Q.WITH_RAW} SELECT source, '2030-01-02' AS day, count(*) AS n FROM raw GROUP BY 1, 2")
 def _(spark, sf_dir):
     """The batch is written twice; the second run replaces the first."""
     path, raw = scratch(spark), raw_postings(spark, sf_dir)
-    B.write_batch(B.with_ingest_metadata(raw.drop("k"), CTX), path, CTX)
-    B.write_batch(B.with_ingest_metadata(raw.filter("k % 2 = 0").drop("k"), CTX), path, CTX)
+    for rows in (raw.filter(F.col("raw_city").isNull()), raw):
+        B.write_batch(B.with_ingest_metadata(rows.drop("k"), CTX), path, CTX)
     stored = B.read_table(spark, path, S.BRONZE)
     return stored.groupBy("source", F.col("_load_date").cast("string").alias("day")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@check("a8_read_batch", f"{Q.WITH_RAW} SELECT {BRONZE_LIST} FROM raw WHERE k % 3 = 1 AND k % 2 = 0")
+@check("a8_read_batch", f"{Q.WITH_RAW} SELECT {BRONZE_LIST} FROM raw WHERE left(raw_collected_at, 4) = '2028' AND source = 'Sabbar'")
 def _(spark, sf_dir):
+    """Batches are the postings of one year and source."""
     raw = raw_postings(spark, sf_dir).withColumns(
-        {
-            "_load_date": F.when(F.col("k") % 3 == 1, F.lit("2030-01-02")).otherwise("2030-01-03").cast("date"),
-            "_batch_id": F.when(F.col("k") % 2 == 0, F.lit("batch_1")).otherwise("batch_2"),
-        }
+        {"_load_date": F.trunc("raw_collected_at", "year"), "_batch_id": F.col("source")}
     )
-    return B.read_batch(raw, CTX).select(*S.BRONZE_COLUMNS)
+    return B.read_batch(raw, RunContext("2028-01-01", "Sabbar", Q.NOW)).select(*S.BRONZE_COLUMNS)
 
 
 @check(
     "a9_append_once",
     f"""{Q.WITH_RAW} SELECT batch_id, count(*) AS n FROM (
-      SELECT CASE WHEN k % 2 = 0 THEN 'batch_1' ELSE 'batch_2' END AS batch_id FROM raw WHERE NOT ({Q.VALID})) GROUP BY 1""",
+      SELECT CASE WHEN source = 'Sabbar' THEN 'batch_1' ELSE 'batch_2' END AS batch_id FROM raw WHERE NOT ({Q.VALID})) GROUP BY 1""",
 )
 def _(spark, sf_dir):
     """Rejects of two batches, the first one written twice."""
     path, raw = scratch(spark), raw_postings(spark, sf_dir)
-    for part, batch in [(0, "batch_1"), (1, "batch_2"), (0, "batch_1")]:
+    first, second = raw.filter("source = 'Sabbar'"), raw.filter("source <> 'Sabbar'")
+    for part, batch in [(first, "batch_1"), (second, "batch_2"), (first, "batch_1")]:
         ctx = RunContext("2030-01-02", batch, Q.NOW)
-        rows = B.with_ingest_metadata(raw.filter(F.col("k") % 2 == part).drop("k"), ctx)
+        rows = B.with_ingest_metadata(part.drop("k"), ctx)
         B.append_once(E.split_valid(rows)[1], path, ctx)
     stored = B.read_table(spark, path, S.REJECTED)
     return stored.groupBy(F.col("_batch_id").alias("batch_id")).agg(F.count(F.lit(1)).alias("n"))
@@ -556,18 +555,20 @@ def _(spark, sf_dir):
 
 # --- upsert -------------------------------------------------------------------------------------
 
-# Two Silver batches, split by the parity of the order key; postings of the second batch replace
-# those of the first where ids meet.
+# Two Silver batches that overlap in time and together hold all postings; those of the second batch
+# replace those of the first where ids meet.
+EARLY, LATE = "2029-01-01 00:00:00", "2028-01-01 00:00:00"
 WITH_TWO = (
-    f"{Q.WITH_CITY}, even AS (SELECT * FROM raw WHERE k % 2 = 0), later AS (SELECT * FROM raw WHERE k % 3 = 0), "
-    f"{Q.silver_from('s1', 'even')}, {Q.silver_from('s2', 'later')}"
+    f"{Q.WITH_CITY}, early AS (SELECT * FROM raw WHERE raw_collected_at <= '{EARLY}'), "
+    f"later AS (SELECT * FROM raw WHERE raw_collected_at > '{LATE}'), {Q.silver_from('s1', 'early')}, {Q.silver_from('s2', 'later')}"
 )
 MERGED = "SELECT * FROM s1 WHERE job_id NOT IN (SELECT job_id FROM s2) UNION ALL SELECT * FROM s2"
 
 
 def two_batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     raw = raw_postings(spark, sf_dir)
-    return tuple(P.silver_batch(raw.filter(f), Q.NOW)[0] for f in ("k % 2 = 0", "k % 3 = 0"))
+    parts = (raw.filter(F.col("raw_collected_at") <= EARLY), raw.filter(F.col("raw_collected_at") > LATE))
+    return tuple(P.silver_batch(part, Q.NOW)[0] for part in parts)
 
 
 @check("g1_merge_upsert", f"{WITH_TWO} {MERGED}")

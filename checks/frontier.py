@@ -32,7 +32,7 @@ links AS (
 firsts AS (
   SELECT * FROM links QUALIFY row_number() OVER (PARTITION BY source, url ORDER BY page, pos) = 1
 ),
-known AS (SELECT DISTINCT url FROM links WHERE length(url) % 2 = 0),
+known AS (SELECT DISTINCT url FROM links WHERE url < 'https://host.example/m'),
 fresh AS (SELECT * FROM firsts WHERE url NOT IN (SELECT url FROM known)),
 stats AS (
   SELECT p.source, p.page, count(DISTINCT l.pos) AS n_links, count(DISTINCT f.pos) AS n_new
@@ -57,7 +57,7 @@ def listing_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def known_urls(links: DataFrame) -> DataFrame:
-    return links.filter(F.length("url") % 2 == 0).select("url").distinct()
+    return links.filter(F.col("url") < "https://host.example/m").select("url").distinct()
 
 
 def fresh_links(links: DataFrame) -> DataFrame:
@@ -223,10 +223,10 @@ fetches AS (SELECT event_id, 'https://host/jobs/p/' || CAST(event_id // 2 AS STR
   CASE event_type WHEN 'view' THEN 200 WHEN 'click' THEN 200 WHEN 'purchase' THEN CASE WHEN event_id % 2 = 0 THEN 404 ELSE 410 END
     WHEN 'error' THEN 500 END AS status,
   CASE event_type WHEN 'click' THEN 'no_details_extracted' WHEN 'signup' THEN 'Timeout: ' || repeat(props, 12) END AS error
-  FROM events),
+  , ts FROM events),
 outcomes AS (SELECT *, CASE WHEN status IN (404, 410) OR error = 'no_details_extracted' THEN 'gone'
   WHEN status = 200 AND error IS NULL THEN 'ok' ELSE 'retry' END AS outcome FROM fetches),
-known_before AS (SELECT DISTINCT url FROM fetches WHERE event_id % 7 = 0)"""
+known_before AS (SELECT DISTINCT url FROM fetches WHERE ts < TIMESTAMP '2024-01-05')"""
 
 
 def outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -234,6 +234,7 @@ def outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     gone = F.when(F.col("event_id") % 2 == 0, 404).otherwise(410)
     fetches = table(spark, sf_dir, "events").select(
         "event_id",
+        "ts",
         F.concat(F.lit("https://host/jobs/p/"), F.floor(F.col("event_id") / 2).cast("string")).alias("url"),
         F.when(event.isin("view", "click"), 200).when(event == "purchase", gone).when(event == "error", 500).alias("status"),
         F.when(event == "click", V.GONE_ERROR)
@@ -244,7 +245,7 @@ def outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def known_before(fetched: DataFrame) -> DataFrame:
-    return fetched.filter(F.col("event_id") % 7 == 0).select("url").distinct()
+    return fetched.filter(F.col("ts") < F.lit("2024-01-05").cast("timestamp_ntz")).select("url").distinct()
 
 
 @check("b11_classify_outcome", f"WITH {OUTCOMES_SQL} SELECT event_id, outcome FROM outcomes")

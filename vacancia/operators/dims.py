@@ -124,11 +124,26 @@ def dim_date(df: DataFrame, col: str) -> DataFrame:
 # --- facts --------------------------------------------------------------------------------------
 
 
+BROADCAST_BYTES = 64 << 20
+
+
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Marks a table for broadcast if its measured size allows; otherwise Spark joins by shuffle.
+
+    Keys given out in this very load have no file size Spark could go by, so the size is counted:
+    the bytes of all texts and 16 more per value.
+    """
+    texts = [F.coalesce(F.octet_length(n), F.lit(0)) for n, t in df.dtypes if t == "string"]
+    width = reduce(lambda a, b: a + b, texts, F.lit(16 * len(df.columns)))
+    size = df.agg(F.sum(width.cast("bigint"))).first()[0] or 0
+    return F.broadcast(df) if size <= limit else df
+
+
 def resolve_keys(df: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     """Fact candidates: natural values replaced by the keys of `source`, `company`, `location`, `job`.
 
-    Small dimensions are broadcast by their measured size; larger ones join by shuffle, where a
-    value many rows share is split by the adaptive skew join.
+    Dimensions of a small measured size are broadcast; larger ones join by shuffle, where a value
+    many rows share is split by the adaptive skew join.
     """
     p = df.alias("p")
     source = dims["source"].select("source_key", "source_name").alias("s")
@@ -143,14 +158,14 @@ def resolve_keys(df: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
         for c in JOB_ATTRIBUTES
     ]
     return (
-        p.join(source, F.col("p.source") == F.col("s.source_name"), "left")
-        .join(company, F.col("p.company_name") == F.col("c._company"), "left")
+        p.join(broadcast_if_small(source), F.col("p.source") == F.col("s.source_name"), "left")
+        .join(broadcast_if_small(company), F.col("p.company_name") == F.col("c._company"), "left")
         .join(
-            location,
+            broadcast_if_small(location),
             (F.col("p.country") == F.col("l._country")) & (F.col("p.city") == F.col("l._city")),
             "left",
         )
-        .join(job, reduce(lambda a, b: a & b, same_job), "left")
+        .join(broadcast_if_small(job), reduce(lambda a, b: a & b, same_job), "left")
         .select(
             "job_key", "company_key", "location_key", "source_key",
             date_key(F.col("p.posted_date")).alias("posted_date_key"),
@@ -188,9 +203,8 @@ def bridge(skills: DataFrame, dim_skill: DataFrame, existing: DataFrame | None =
 
     A posting has its own key and lists each skill once, so the links are distinct as they are.
     """
-    links = skills.join(dim_skill.select("skill_key", "skill_name"), "skill_name").select(
-        "job_posting_key", "skill_key"
-    )
+    names = broadcast_if_small(dim_skill.select("skill_key", "skill_name"))
+    links = skills.join(names, "skill_name").select("job_posting_key", "skill_key")
     if existing is None:
         return links
     keys = ["job_posting_key", "skill_key"]

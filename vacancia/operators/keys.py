@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from itertools import accumulate
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vacancia.context import materialize
@@ -26,12 +28,11 @@ def assign_keys(new: DataFrame, order: list[str], key: str, start: int = 0) -> D
         "_slot", F.monotonically_increasing_id()
     )
     slots = materialize(slots).withColumn("_task", F.shiftright("_slot", _SLOT_BITS))
-    # One row per task.
-    sizes = slots.groupBy("_task").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_task", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    # One row per task: the list is as long as the sort had output partitions.
+    sizes = dict(slots.groupBy("_task").agg(F.count(F.lit(1)).alias("_n")).collect())
+    before = list(accumulate((sizes.get(task, 0) for task in range(max(sizes, default=0) + 1)), initial=start))
+    # As one literal, so that using the keys costs neither a join nor a job.
+    offsets = F.split(F.lit(",".join(map(str, before))), ",").cast("array<bigint>")
+    offset = F.element_at(offsets, (F.col("_task") + 1).cast("int"))
     position = F.col("_slot").bitwiseAND(F.lit((1 << _SLOT_BITS) - 1))
-    numbered = slots.join(F.broadcast(offsets), "_task")
-    return numbered.select(
-        (F.lit(start) + F.col("_offset") + position + 1).cast("bigint").alias(key), *new.columns
-    )
+    return slots.select((offset + position + 1).cast("bigint").alias(key), *new.columns)

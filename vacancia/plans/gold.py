@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,12 +43,12 @@ class Gold:
 
 @dataclass(frozen=True)
 class Increment:
-    """Rows one load adds to each table."""
+    """What one load adds: facts, skills not known before, skills per posting, the watermark."""
 
-    dims: dict[str, DataFrame] = field(default_factory=dict)
-    fact: DataFrame | None = None
-    links: DataFrame | None = None
-    watermark: DataFrame | None = None
+    fact: DataFrame
+    dims: dict[str, DataFrame]
+    skills: DataFrame
+    watermark: DataFrame
 
 
 def empty_gold(spark: SparkSession) -> Gold:
@@ -60,7 +60,7 @@ def empty_gold(spark: SparkSession) -> Gold:
     )
 
 
-def _dim_increments(prepared: DataFrame, dims: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def dim_increments(prepared: DataFrame, dims: dict[str, DataFrame]) -> dict[str, DataFrame]:
     sources = D.dim_members(prepared.select(F.col("source").alias("source_name")), ["source_name"])
     places = D.dim_members(prepared, ["country", "city"], keep_null=True)
     jobs = D.dim_members(prepared, S.JOB_ATTRIBUTES, keep_null=True)
@@ -73,65 +73,61 @@ def _dim_increments(prepared: DataFrame, dims: dict[str, DataFrame]) -> dict[str
     }
 
 
-def gold_increment(silver: DataFrame, gold: Gold, pipeline: str = V.PIPELINE_NAME) -> Increment:
-    """What a load adds; an empty increment if Silver has nothing new.
-
-    Dimensions and facts are insert-only. A load that broke off after its facts but before its
-    links is completed: its postings are linked now.
-    """
-    spark = silver.sparkSession
+def changed_rows(silver: DataFrame, gold: Gold, pipeline: str) -> tuple[DataFrame, str | None]:
+    """Prepared Silver rows stamped after the watermark, and their highest stamp."""
     changes = D.since(silver, "collected_at", D.read_watermark(gold.watermark, pipeline))
-    stamp = changes.agg(F.max("collected_at")).first()[0]
-    if stamp is None:
-        return Increment()
-    load_id = uuid.uuid4().hex
-    prepared = D.prepare(changes)
+    return D.prepare(changes), changes.agg(F.max("collected_at")).first()[0]
 
-    added = _dim_increments(prepared, gold.dims)
-    dims = {name: dim.unionByName(added[name]) if name in added else dim for name, dim in gold.dims.items()}
 
-    candidates = materialize(D.resolve_keys(prepared, dims))
+def fact_increment(prepared: DataFrame, gold: Gold, stamp: str, pipeline: str) -> Increment:
+    """New facts and their skills, once the other dimensions hold every value.
+
+    A load that broke off after its facts but before its links is completed: its postings are
+    linked now.
+    """
+    load_id = uuid.uuid4().hex
+    candidates = materialize(D.resolve_keys(prepared, gold.dims))
     stored = gold.fact.select("job_posting_key", *D.FACT_KEY, LOAD_ID)
     known = materialize(rows_with_keys_of(stored, candidates, D.FACT_KEY))
     new = candidates.join(known, D.FACT_KEY, "left_anti").select(*candidates.columns)
-    keyed = materialize(D.to_fact(new, next_start(gold.fact, "job_posting_key")))
+    keyed = D.to_fact(new, next_start(gold.fact, "job_posting_key"))
 
     finished = gold.watermark.select(LOAD_ID).distinct()
     unlinked = known.join(finished, LOAD_ID, "left_anti").join(candidates, D.FACT_KEY)
-    skills = materialize(
-        D.explode_skills(
-            keyed.select("job_posting_key", "skills").unionByName(unlinked.select("job_posting_key", "skills"))
-        )
-    )
-    added["skill"] = D.new_members(
-        gold.dims["skill"], D.dim_members(skills, ["skill_name"]), ["skill_name"], "skill_key"
+    skills = D.explode_skills(
+        keyed.select("job_posting_key", "skills").unionByName(unlinked.select("job_posting_key", "skills"))
     )
-    links = D.bridge(skills, gold.dims["skill"].unionByName(added["skill"]), gold.links)
-    watermark = spark.range(1).select(
+    names = D.dim_members(skills, ["skill_name"])
+    added = D.new_members(gold.dims["skill"], names, ["skill_name"], "skill_key")
+    watermark = prepared.sparkSession.range(1).select(
         F.lit(pipeline).alias("pipeline_name"),
         F.lit(stamp).try_cast("timestamp").alias("last_loaded_at"),
         F.lit(load_id).alias(LOAD_ID),
     )
-    return Increment(added, keyed.drop("skills").withColumn(LOAD_ID, F.lit(load_id)), links, watermark)
+    fact = keyed.drop("skills").withColumn(LOAD_ID, F.lit(load_id))
+    return Increment(fact, {"skill": added}, skills, watermark)
+
 
+def with_dims(gold: Gold, added: dict[str, DataFrame]) -> Gold:
+    return replace(gold, dims={n: d.unionByName(added[n]) if n in added else d for n, d in gold.dims.items()})
 
-def apply_increment(gold: Gold, inc: Increment) -> Gold:
-    """The star schema with an increment added."""
-    if inc.fact is None:
+
+def load_increment(silver: DataFrame, gold: Gold, pipeline: str = V.PIPELINE_NAME) -> Gold:
+    """The star schema with the new rows of Silver added, nothing stored."""
+    prepared, stamp = changed_rows(silver, gold, pipeline)
+    if stamp is None:
         return gold
+    gold = with_dims(gold, dim_increments(prepared, gold.dims))
+    inc = fact_increment(prepared, gold, stamp, pipeline)
+    gold = with_dims(gold, inc.dims)
     return replace(
         gold,
-        dims={n: d.unionByName(inc.dims[n]) if n in inc.dims else d for n, d in gold.dims.items()},
         fact=gold.fact.unionByName(inc.fact),
-        links=gold.links.unionByName(inc.links),
+        links=gold.links.unionByName(D.bridge(inc.skills, gold.dims["skill"], gold.links)),
         watermark=gold.watermark.unionByName(inc.watermark),
     )
 
 
-def load_increment(silver: DataFrame, gold: Gold) -> Gold:
-    return apply_increment(gold, gold_increment(silver, gold))
-
-
 def read_gold(spark: SparkSession, folder: str) -> Gold:
     return Gold(
         {n: read_table(spark, f"{folder}/dim_{n}", s) for n, s in SCHEMAS.items()},
@@ -141,18 +137,24 @@ def read_gold(spark: SparkSession, folder: str) -> Gold:
     )
 
 
-def load_gold(silver: DataFrame, folder: str) -> Gold:
+def load_gold(silver: DataFrame, folder: str, pipeline: str = V.PIPELINE_NAME) -> Gold:
     """Add what is new in Silver to the stored star schema; repeating it changes nothing.
 
-    Dimensions go first and the watermark last. A load that breaks off leaves the watermark where
-    it was: the next one sees the same rows again and adds only what is missing.
+    Dimensions go first, then facts, skills, links and, last, the watermark. A load that breaks off leaves
+    the watermark where it was: the next one sees the same rows again and adds what is missing.
     """
     spark = silver.sparkSession
-    inc = gold_increment(silver, read_gold(spark, folder))
-    if inc.fact is not None:
-        for name, rows in inc.dims.items():
-            rows.write.mode("append").parquet(f"{folder}/dim_{name}")
-        inc.fact.write.mode("append").partitionBy(LOAD_ID).parquet(f"{folder}/fact_job_posting")
-        inc.links.write.mode("append").parquet(f"{folder}/bridge_job_posting_skill")
-        inc.watermark.write.mode("append").parquet(f"{folder}/etl_watermark")
+    gold = read_gold(spark, folder)
+    prepared, stamp = changed_rows(silver, gold, pipeline)
+    if stamp is None:
+        return gold
+    for name, rows in dim_increments(prepared, gold.dims).items():
+        rows.write.mode("append").parquet(f"{folder}/dim_{name}")
+    gold = read_gold(spark, folder)
+    inc = fact_increment(prepared, gold, stamp, pipeline)
+    inc.fact.write.mode("append").partitionBy(LOAD_ID).parquet(f"{folder}/fact_job_posting")
+    inc.dims["skill"].write.mode("append").parquet(f"{folder}/dim_skill")
+    links = D.bridge(inc.skills, read_gold(spark, folder).dims["skill"], gold.links)
+    links.write.mode("append").parquet(f"{folder}/bridge_job_posting_skill")
+    inc.watermark.write.mode("append").parquet(f"{folder}/etl_watermark")
     return read_gold(spark, folder)
