@@ -11,7 +11,7 @@ from checks.postings import raw_postings
 from checks.registry import check, scratch, table
 from vacancia import fixed_values as V
 from vacancia import schemas as S
-from vacancia.context import RunContext
+from vacancia.context import RunContext, spread
 from vacancia.functions import classify as C
 from vacancia.functions import text as X
 from vacancia.functions.arrays import join_names
@@ -439,7 +439,7 @@ def _(spark, sf_dir):
 
 @check("f1_clean_html", f"SELECT page_id, md5(t) AS digest, length(t) AS n FROM (SELECT page_id, {Q.clean_html('html')} AS t FROM pages)")
 def _(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages").select("page_id", X.clean_html(F.col("html")).alias("t"))
+    pages = spread(table(spark, sf_dir, "pages")).select("page_id", X.clean_html(F.col("html")).alias("t"))
     return pages.select("page_id", F.md5("t").alias("digest"), F.length("t").cast("bigint").alias("n"))
 
 
@@ -453,7 +453,7 @@ def _(spark, sf_dir):
 
 @check("f3_title_case", f"SELECT doc_id, md5({Q.title_case('text')}) AS digest FROM documents")
 def _(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", F.md5(X.title_case(F.col("text"))).alias("digest"))
+    return spread(table(spark, sf_dir, "documents")).select("doc_id", F.md5(X.title_case(F.col("text"))).alias("digest"))
 
 
 @check("f4_parse_ts", f"{Q.WITH_RAW} SELECT k, {Q.parse_ts('raw_posted_date')} AS ts FROM raw")

@@ -9,6 +9,7 @@ from checks import sql as Q
 from checks.postings import raw_postings
 from checks.registry import check, table
 from vacancia import fixed_values as V
+from vacancia.context import spread
 from vacancia.functions.arrays import first_nonempty, join_list, kv_map
 from vacancia.functions.classify import classify_tags
 from vacancia.functions.dates import lenient_iso
@@ -351,7 +352,7 @@ def _(spark, sf_dir):
 def _state_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posting pages whose script holds two postings and their companies."""
     k = F.col("o_orderkey")
-    orders = table(spark, sf_dir, "orders").select(k.alias("k"), F.col("o_custkey").alias("c"), "o_orderpriority")
+    orders = spread(table(spark, sf_dir, "orders")).select(k.alias("k"), F.col("o_custkey").alias("c"), "o_orderpriority")
     own, other = F.col("k").cast("string"), (F.col("k") + 1).cast("string")
 
     def job(ident, title):
@@ -425,7 +426,7 @@ def _(spark, sf_dir):
         "nav": X.FieldSpec(["nav ul li a"], attribute="href"),
         "ads": X.FieldSpec(["div.ad"]),
     }
-    read = X.extract_fields(table(spark, sf_dir, "pages").select("page_id", "html"), "html", spec)
+    read = X.extract_fields(spread(table(spark, sf_dir, "pages").select("page_id", "html")), "html", spec)
     first = lambda name: F.coalesce(F.try_element_at(F.col(f"fields.{name}"), F.lit(1)), F.lit(""))
     return read.select(
         "page_id",

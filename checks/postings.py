@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from vacancia.context import spread
+
 RULES = {
     "k": "o_orderkey",
     "source": "CASE k % 3 WHEN 0 THEN 'Wuzzuf' WHEN 1 THEN 'Sabbar' ELSE 'Tanqeeb' END",
@@ -81,11 +83,7 @@ def _select(dates: dict[str, str]) -> list[str]:
 
 def raw_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One Bronze-shaped posting per order, plus the order key `k`."""
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if orders.rdd.getNumPartitions() < cores:
-        # One small file is one task; large tables have splits enough and are not shuffled.
-        orders = orders.repartition(cores, "o_orderkey")
+    orders = spread(spark.read.parquet(f"{sf_dir}/orders.parquet"))
     customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
     nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
     joined = orders.join(customer, orders.o_custkey == customer.c_custkey).join(

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import re
 import tempfile
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 SESSION_SETTINGS = {
@@ -67,3 +70,19 @@ def materialize(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores if there are fewer input splits than that; unchanged otherwise.
+
+    For work that costs far more than moving its input, such as parsing pages from one small file.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def together(spark: SparkSession, steps: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
+    """Run independent steps that start jobs of their own at the same time."""
+    with ThreadPoolExecutor(max_workers=len(steps)) as pool:
+        running = {name: pool.submit(inheritable_thread_target(spark)(step)) for name, step in steps.items()}
+        return {name: result.result() for name, result in running.items()}

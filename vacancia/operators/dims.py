@@ -127,16 +127,21 @@ def dim_date(df: DataFrame, col: str) -> DataFrame:
 BROADCAST_BYTES = 64 << 20
 
 
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Marks a table for broadcast if its measured size allows; otherwise Spark joins by shuffle.
+def broadcast_small(tables: dict[str, DataFrame], limit: int = BROADCAST_BYTES) -> dict[str, DataFrame]:
+    """Marks each table for broadcast if its measured size allows; Spark joins the others by shuffle.
 
-    Keys given out in this very load have no file size Spark could go by, so the size is counted:
-    the bytes of all texts and 16 more per value.
+    Keys given out in this very load have no file size Spark could go by, so the size is counted,
+    for all tables in one job: the bytes of all texts and 16 more per value.
     """
-    texts = [F.coalesce(F.octet_length(n), F.lit(0)) for n, t in df.dtypes if t == "string"]
-    width = reduce(lambda a, b: a + b, texts, F.lit(16 * len(df.columns)))
-    size = df.agg(F.sum(width.cast("bigint"))).first()[0] or 0
-    return F.broadcast(df) if size <= limit else df
+
+    def size(name: str, df: DataFrame) -> DataFrame:
+        texts = [F.coalesce(F.octet_length(n), F.lit(0)) for n, t in df.dtypes if t == "string"]
+        width = reduce(lambda a, b: a + b, texts, F.lit(16 * len(df.columns))).cast("bigint")
+        return df.agg(F.sum(width).alias("bytes")).select(F.lit(name).alias("name"), "bytes")
+
+    measured = reduce(DataFrame.unionByName, [size(n, df) for n, df in tables.items()])
+    sizes = {row["name"]: row["bytes"] or 0 for row in measured.collect()}
+    return {n: F.broadcast(df) if sizes[n] <= limit else df for n, df in tables.items()}
 
 
 def resolve_keys(df: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
@@ -146,26 +151,30 @@ def resolve_keys(df: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     many rows share is split by the adaptive skew join.
     """
     p = df.alias("p")
-    source = dims["source"].select("source_key", "source_name").alias("s")
-    company = dims["company"].select("company_key", F.col("company_name").alias("_company")).alias("c")
-    location = dims["location"].select(
-        "location_key", F.col("country").alias("_country"), F.col("city").alias("_city")
-    ).alias("l")
-    job = dims["job"].select("job_key", *[F.col(c).alias(f"_{c}") for c in JOB_ATTRIBUTES]).alias("j")
+    lookups = broadcast_small(
+        {
+            "source": dims["source"].select("source_key", "source_name"),
+            "company": dims["company"].select("company_key", F.col("company_name").alias("_company")),
+            "location": dims["location"].select(
+                "location_key", F.col("country").alias("_country"), F.col("city").alias("_city")
+            ),
+            "job": dims["job"].select("job_key", *[F.col(c).alias(f"_{c}") for c in JOB_ATTRIBUTES]),
+        }
+    )
     null_safe = {"job_category", "career_level", "experience_needed"}
     same_job = [
-        F.col(f"p.{c}").eqNullSafe(F.col(f"j._{c}")) if c in null_safe else F.col(f"p.{c}") == F.col(f"j._{c}")
+        F.col(f"p.{c}").eqNullSafe(F.col(f"_{c}")) if c in null_safe else F.col(f"p.{c}") == F.col(f"_{c}")
         for c in JOB_ATTRIBUTES
     ]
     return (
-        p.join(broadcast_if_small(source), F.col("p.source") == F.col("s.source_name"), "left")
-        .join(broadcast_if_small(company), F.col("p.company_name") == F.col("c._company"), "left")
+        p.join(lookups["source"], F.col("p.source") == F.col("source_name"), "left")
+        .join(lookups["company"], F.col("p.company_name") == F.col("_company"), "left")
         .join(
-            broadcast_if_small(location),
-            (F.col("p.country") == F.col("l._country")) & (F.col("p.city") == F.col("l._city")),
+            lookups["location"],
+            (F.col("p.country") == F.col("_country")) & (F.col("p.city") == F.col("_city")),
             "left",
         )
-        .join(broadcast_if_small(job), reduce(lambda a, b: a & b, same_job), "left")
+        .join(lookups["job"], reduce(lambda a, b: a & b, same_job), "left")
         .select(
             "job_key", "company_key", "location_key", "source_key",
             date_key(F.col("p.posted_date")).alias("posted_date_key"),
@@ -203,8 +212,8 @@ def bridge(skills: DataFrame, dim_skill: DataFrame, existing: DataFrame | None =
 
     A posting has its own key and lists each skill once, so the links are distinct as they are.
     """
-    names = broadcast_if_small(dim_skill.select("skill_key", "skill_name"))
-    links = skills.join(names, "skill_name").select("job_posting_key", "skill_key")
+    names = broadcast_small({"skill": dim_skill.select("skill_key", "skill_name")})
+    links = skills.join(names["skill"], "skill_name").select("job_posting_key", "skill_key")
     if existing is None:
         return links
     keys = ["job_posting_key", "skill_key"]

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from vacancia import fixed_values as V
 from vacancia import schemas as S
-from vacancia.context import materialize
+from vacancia.context import materialize, together
 from vacancia.operators import dims as D
 from vacancia.operators.keys import next_start
 from vacancia.operators.merge import missing_from, rows_with_keys_of
@@ -61,16 +61,26 @@ def empty_gold(spark: SparkSession) -> Gold:
 
 
 def dim_increments(prepared: DataFrame, dims: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """New members of every dimension but skills. The dimensions do not depend on each other."""
     sources = D.dim_members(prepared.select(F.col("source").alias("source_name")), ["source_name"])
+    companies = D.company_members(prepared)
     places = D.dim_members(prepared, ["country", "city"], keep_null=True)
     jobs = D.dim_members(prepared, S.JOB_ATTRIBUTES, keep_null=True)
-    return {
-        "source": D.new_members(dims["source"], sources, ["source_name"], "source_key"),
-        "company": D.new_members(dims["company"], D.company_members(prepared), ["company_name"], "company_key"),
-        "location": D.new_members(dims["location"], places, ["country", "city"], "location_key", null_safe=True),
-        "job": D.new_members(dims["job"], jobs, S.JOB_ATTRIBUTES, "job_key", null_safe=True),
-        "date": missing_from(D.dim_date(prepared, "posted_date"), dims["date"], ["date_key"]),
-    }
+
+    def members(name: str, found: DataFrame, natural: list[str], null_safe: bool = False):
+        return lambda: D.new_members(dims[name], found, natural, f"{name}_key", null_safe)
+
+    added = together(
+        prepared.sparkSession,
+        {
+            "source": members("source", sources, ["source_name"]),
+            "company": members("company", companies, ["company_name"]),
+            "location": members("location", places, ["country", "city"], null_safe=True),
+            "job": members("job", jobs, S.JOB_ATTRIBUTES, null_safe=True),
+        },
+    )
+    days = D.dim_date(prepared, "posted_date")
+    return {**added, "date": missing_from(days, dims["date"], ["date_key"])}
 
 
 def changed_rows(silver: DataFrame, gold: Gold, pipeline: str) -> tuple[DataFrame, str | None]:

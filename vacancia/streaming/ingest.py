@@ -86,9 +86,12 @@ def upsert_stream(
 
     def write(batch: DataFrame, epoch: int) -> None:
         micro = _micro(ctx, name, epoch)
-        rows, rejects = silver_batch(with_ingest_metadata(batch, micro), ctx.now)
+        # Both outputs read the micro-batch; its files are still there should a cached part be lost.
+        cached = batch.persist()
+        rows, rejects = silver_batch(with_ingest_metadata(cached, micro), ctx.now)
         append_once(rejects, rejected, micro)
         upsert_table(batch.sparkSession, silver, rows, ["job_id"], buckets)
+        cached.unpersist()
 
     return _start(bronze, checkpoint, write)
 
