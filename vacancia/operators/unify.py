@@ -42,7 +42,7 @@ def unify_nested(df: DataFrame, source: str = V.SOURCE_NESTED) -> DataFrame:
         salary=salary_text(salary["min"], salary["max"], salary["currency"]["code"]),
         posted_date=job["postedAt"],
         # The writer names the stamp `collected_at`, older files `scraped_at`.
-        collected_at=F.coalesce("collected_at", "scraped_at"),
+        collected_at=F.coalesce(*[n for n in ("collected_at", "scraped_at") if n in df.columns]),
     )
 
 
