@@ -212,7 +212,7 @@ D1_SQL = f"""{Q.WITH_RAW} SELECT 'Wuzzuf' AS source, raw_job_id, raw_job_title,
   CASE k % 3 WHEN 0 THEN 'sql; ' || raw_job_id WHEN 1 THEN raw_job_id END AS raw_skills,
   CASE WHEN k % 9 = 0 THEN NULL ELSE raw_job_id || CASE WHEN k % 2 = 0 THEN ' - 9000' ELSE '' END
     || CASE WHEN k % 4 = 0 THEN ' USD' ELSE ' SAR' END END AS raw_salary,
-  NULL AS raw_estimated_salary, raw_posted_date, raw_collected_at FROM raw WHERE k > 0"""
+  CAST(NULL AS VARCHAR) AS raw_estimated_salary, raw_posted_date, raw_collected_at FROM raw WHERE k > 0"""
 
 
 def nested_raw(raw: DataFrame) -> DataFrame:
@@ -265,10 +265,10 @@ def _(spark, sf_dir):
 
 D2_SQL = f"""{Q.WITH_RAW} SELECT 'Sabbar' AS source, raw_job_id, raw_job_title, raw_company_name, raw_job_description, raw_job_url,
   coalesce(raw_country, 'Saudi Arabia') AS raw_country, raw_city, raw_work_mode, raw_employment_type, raw_experience,
-  NULL AS raw_qualification, NULL AS raw_skills,
+  CAST(NULL AS VARCHAR) AS raw_qualification, CAST(NULL AS VARCHAR) AS raw_skills,
   CASE WHEN k % 7 > 0 THEN CAST(k % 7 AS STRING) || CASE WHEN k % 3 > 0 THEN ' - ' || CAST(k % 3 AS STRING) ELSE '' END
     || CASE WHEN k % 2 = 0 THEN ' USD' ELSE ' SAR' END END AS raw_salary,
-  NULL AS raw_estimated_salary, raw_posted_date, raw_collected_at FROM raw"""
+  CAST(NULL AS VARCHAR) AS raw_estimated_salary, raw_posted_date, raw_collected_at FROM raw"""
 
 
 def flat_a_raw(raw: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from vacancia.functions.text import map_city
 from vacancia.operators import extract as X
 from vacancia.operators import frontier as R
 from vacancia.operators.dedup import latest_by
-from vacancia.operators.validate import require_rows, split_valid
+from vacancia.operators.validate import observed, require_rows, split_valid
 from vacancia.plans import silver as P
 
 NOW = "2031-01-01 00:00:00"
@@ -32,6 +32,12 @@ def test_require_rows(spark):
         require_rows(spark.range(0), "x")
 
 
+def test_rows_are_counted_while_written(spark, tmp_path):
+    df, seen = observed(spark.range(7), "written")
+    df.write.parquet(str(tmp_path / "t"))
+    assert seen.get["rows"] == 7
+
+
 def test_silver_has_no_python_and_no_single_task(spark, sf):
     text = plan(P.silver_batch(raw_postings(spark, sf), NOW)[0])
     assert "Python" not in text and "SinglePartition" not in text and "CartesianProduct" not in text

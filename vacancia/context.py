@@ -75,7 +75,7 @@ def materialize(df: DataFrame) -> DataFrame:
 def spread(df: DataFrame) -> DataFrame:
     """Rows over all cores if there are fewer input splits than that; unchanged otherwise.
 
-    For work that costs far more than moving its input, such as parsing pages from one small file.
+    For scans whose rows cost far more to process than to move, such as pages in one small file.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
