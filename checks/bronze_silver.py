@@ -91,6 +91,15 @@ def landed(spark: SparkSession, sf_dir: str) -> str:
     return folder
 
 
+@check("a1_landing_files", "SELECT 'part' AS source, count(DISTINCT o_orderkey // 1000) AS files, true AS sized FROM orders")
+def _(spark, sf_dir):
+    """Inventory of landed files; markers and empty files are left out."""
+    files = L.landing_files(spark, landed(spark, sf_dir), ["part"], ".txt")
+    return files.groupBy("source").agg(
+        F.count_distinct("name").alias("files"), (F.min("length") >= V.MIN_FILE_BYTES).alias("sized")
+    )
+
+
 @check(
     "a3_read_postings",
     f"""{Q.WITH_RAW} SELECT raw_job_id AS id, raw_job_title AS title, raw_job_description AS description,
