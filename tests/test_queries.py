@@ -3,9 +3,10 @@
 import pytest
 
 import __spark_entry__ as entry
+from checks import all_oracles, all_queries
 from checks.compare import compare, connect
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = all_queries(), all_oracles()
 
 
 @pytest.fixture(scope="module")
@@ -27,3 +28,8 @@ def test_entry_has_rows(spark):
     df = entry.entry(spark)
     assert df.columns == ["city", "postings", "companies"]
     assert df.count() > 0
+
+
+def test_entry_offers_every_query():
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(ORACLES) <= set(entry.oracle_sql())

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import re
 import tempfile
+import zipfile
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -43,9 +45,27 @@ def configure(spark: SparkSession) -> SparkSession:
     """Pin the settings results depend on (time zone) and the adaptive ones skew depends on."""
     for key, value in SESSION_SETTINGS.items():
         spark.conf.set(key, value)
+    ship(spark)
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Send the package's modules to the executors, whose Python tasks import them by name."""
+    context = spark.sparkContext
+    if getattr(context, "_vacancia_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="vacancia-")), "vacancia.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as archive:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    file = os.path.join(folder, name)
+                    archive.write(file, os.path.join("vacancia", os.path.relpath(file, root)))
+    context.addPyFile(path)
+    context._vacancia_shipped = True
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names for checkpoints; a local session may fall back to its own."""
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get(
