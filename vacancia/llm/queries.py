@@ -158,3 +158,22 @@ WITH c AS (
 SELECT c.page_id, c.host, c.fetched_on, coalesce(m.action = 'block', false) AS blocked, m.entry, m.action, m.valid_from AS listed_on
 FROM c LEFT JOIN m ON c.page_id = m.page_id AND m.r = 1
 """
+
+
+@query
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from vacancia.llm.quality import THRESHOLD, score, train
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    scored = score(docs, train(docs, table(spark, sf_dir, "labels")))
+    kept = (F.col("posterior") >= THRESHOLD).alias("kept")
+    return scored.select("row.doc_id", "row.source", "row.lang", "p", "host_mean", "path_mean", "posterior", kept)
+
+
+@query
+def op9_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vacancia.llm.fingerprints import compare_neighbours
+
+    return compare_neighbours(table(spark, sf_dir, "documents"))
