@@ -177,3 +177,10 @@ def op9_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     from vacancia.llm.fingerprints import compare_neighbours
 
     return compare_neighbours(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vacancia.llm.ngram_join import similar_documents
+
+    return similar_documents(table(spark, sf_dir, "documents"))
