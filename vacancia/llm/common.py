@@ -33,6 +33,11 @@ def small(df: DataFrame, width: int) -> DataFrame:
     return F.broadcast(df) if df.count() * width <= BROADCAST_BYTES else df
 
 
+def small_by(df: DataFrame, size) -> DataFrame:
+    """The same by a measured sum of bytes, for rows of no fixed width; `size` is a column."""
+    return F.broadcast(df) if (df.agg(F.sum(size)).first()[0] or 0) <= BROADCAST_BYTES else df
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

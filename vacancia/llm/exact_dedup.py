@@ -4,7 +4,8 @@ A level reads the next bytes of each text that still shares its group with other
 group with equal bytes go on together, a text that is alone or at its end is finished. Levels read
 more bytes each time, so copies of n bytes take log n levels and no byte is read twice. Counting
 combines on the map side and finished rows leave, so a level moves only texts that are still equal
-to another one. Hot groups are rows of a join that adaptive execution splits.
+to another one. The groups that go on are broadcast while their measured size is small; beyond that
+the join shuffles, and adaptive execution splits hot groups.
 
 White space (U+0020, U+0009 to U+000D) does not count; null text is empty text. All empty texts are
 one group. Of a group, the row with the most code points, then the smallest key stays; of rows that
@@ -16,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vacancia.llm.common import new_folder, stored
+from vacancia.llm.common import new_folder, small, small_by, stored
 
 BLANKS = r"[\x20\x09-\x0D]+"
 #: Bytes of the first level, and how many times more the next one reads.
@@ -32,6 +33,7 @@ def _level(rows: DataFrame, width: int, folder: str, keys: DataFrame) -> DataFra
     groups = keys.groupBy("gid", "digit", "ended").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     groups = stored(groups.withColumn("next", F.monotonically_increasing_id()), f"{folder}-groups")
     split = rows.withColumns({"digit": F.substring("rest", 1, width), "ended": F.octet_length("rest") <= width})
+    groups = small_by(groups, F.octet_length("digit") + 64)
     split = split.join(groups, ["gid", "digit", "ended"], "left")
     alone = F.col("next").isNull()
     return split.select(
@@ -84,10 +86,10 @@ def exact_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -
         keys = rows.select(
             "gid", F.substring("rest", 1, width).alias("digit"), (F.octet_length("rest") <= width).alias("ended")
         )
-    return _choose(finished)
+    return _choose(finished, folder)
 
 
-def _choose(finished: DataFrame) -> DataFrame:
+def _choose(finished: DataFrame, folder: str) -> DataFrame:
     single = finished.filter("alone").select(
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256"
     )
@@ -97,6 +99,7 @@ def _choose(finished: DataFrame) -> DataFrame:
         F.min(F.struct(-F.col("n_chars"), F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"))).alias("best"),
     )
     best = best.select("level", "gid", "group_size", F.col("best.doc_id").alias("keep_id"), F.col("best.row").alias("keep_row"))
+    best = small(stored(best, f"{folder}/best"), 64)
     chosen = many.join(best, ["level", "gid"]).select(
         "doc_id", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), "text_sha256"
     )
