@@ -39,7 +39,7 @@ WORDS = 5
 #: Text characters per bucket of the screen; n-grams per bucket of the count: bound a task's memory.
 BUCKET_CHARS, BUCKET_GRAMS = 48 << 20, 4 << 20
 #: A block of a hub holds so many sets, or so many n-grams.
-BLOCK_SETS, BLOCK_GRAMS = 512, 200_000
+BLOCK_SETS, BLOCK_GRAMS = 256, 200_000
 #: n-grams are told in the screen by so many bytes of their hash; equal beginnings only add work.
 TOLD_BYTES = 6
 
