@@ -151,7 +151,7 @@ def token_starts(symbol: np.ndarray) -> np.ndarray:
     blocks = -(-n // BLOCK)
     padded = np.full(blocks * BLOCK, SAME, np.uint8)
     padded[:n] = symbol
-    f = np.ascontiguousarray(look_up(number, padded).reshape(blocks, BLOCK).T)  # a row per place in a block
+    f = np.array(look_up(number, padded).reshape(blocks, BLOCK).T, order="C")  # a row per place in a block
     for j in range(1, BLOCK):
         f[j] = look_up(compose, f[j - 1] << 4 | f[j])
     total, reach = f[-1].copy(), 1

@@ -27,6 +27,7 @@ SAMPLE = 20_000
 #: Documents whose posterior is below this are rejected.
 THRESHOLD = 0.5
 RIDGE, STEPS, CLIP = 1.0, 30, 1e-6
+FEATURES = 14
 
 _KIND = np.zeros((8, 256))
 for _b in range(256):
@@ -51,7 +52,7 @@ for _b in range(256):
 
 def features(bodies: list[bytes]) -> np.ndarray:
     """Shares of byte classes, variety and length of words, and length, of each text."""
-    out = np.zeros((len(bodies), 14))
+    out = np.zeros((len(bodies), FEATURES))
     for i, body in enumerate(bodies):
         words = body.split()
         if not words:
@@ -117,7 +118,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     docs = docs.select(F.col(key).cast("long").alias("doc_id"), body.alias("body")).join(known, "doc_id")
     rows = docs.groupBy("doc_id").agg(F.first("y").alias("y"), F.min(described("body")).alias("x")).toPandas()
     rows = rows.sort_values("doc_id")
-    return fit(np.array(rows["x"].tolist()).reshape(len(rows), -1), (rows["y"].to_numpy(float) >= 0.5).astype(float))
+    return fit(np.array(rows["x"].tolist()).reshape(-1, FEATURES), (rows["y"].to_numpy(float) >= 0.5).astype(float))
 
 
 def _sums(prefix: str) -> list[Column]:
