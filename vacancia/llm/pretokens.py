@@ -125,14 +125,11 @@ def symbols(data: np.ndarray) -> np.ndarray:
         kind[lead] = classes()[point]
     out = look_up(bytes([GAP, WORD, DIGIT, MARK, SAME, EDGE] + [0] * 250), kind).copy()
     blank = np.flatnonzero(kind == BLANK)
+    ahead = np.append(kind, [END])
     behind = blank + 1
-    while True:  # step over the inner bytes of white space outside ASCII
-        inner = kind[np.minimum(behind, len(kind) - 1)] == INNER
-        if not inner.any():
-            break
+    while (inner := ahead[behind] == INNER).any():  # the inner bytes of white space outside ASCII
         behind[inner] += 1
-    next_kind = kind[np.minimum(behind, len(kind) - 1)]
-    last = (behind < len(kind)) & (next_kind != BLANK) & (next_kind != END)
+    last = (ahead[behind] != BLANK) & (ahead[behind] != END)
     out[blank[last]] = np.where(data[blank[last]] == 0x20, LEAD, BREAK)
     quotes = np.flatnonzero(data == 0x27)
     if len(quotes):
