@@ -102,7 +102,7 @@ def test_quality_of_odd_rows(docs, empty, spark):
 def test_sparse_sites_are_shrunk(spark):
     """A site's bad mean counts for a large site, hardly for a small one."""
     rows = [(i, "big", "p", "junk" if i % 20 else "fine") for i in range(400)]
-    rows += [(1000 + i, f"s{i % 50}", "p", "fine" if i * 7919 % 10 < 7 else "junk") for i in range(1000)]
+    rows += [(1000 + i, f"s{i % 50}", "p", "fine" if i // 50 % 10 < 7 else "junk") for i in range(1000)]
     rows += [(2000, "tiny", "p", "junk"), (2001, "tiny", "p", "fine")]
     docs = spark.createDataFrame(rows, "doc_id long, source string, lang string, text string")
 
