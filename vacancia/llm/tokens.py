@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 from vacancia.llm.pretokens import split
 
 #: Pre-tokens kept by a Python worker; a full cache starts anew. Bounds memory, not results.
-CACHE_ENTRIES = 1_200_000
+CACHE_ENTRIES = 450_000
 
 
 class PieceCache(dict):
