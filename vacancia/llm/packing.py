@@ -58,6 +58,7 @@ def cut(docs: DataFrame, tokenizer: str, end_id: int, size: int, key: str = "doc
                 [pa.array(c, t) for c, t in zip(columns, kinds)],
                 ["doc_id", "piece", "start", "length", "ids_crc32", "part", "rank"],
             )
+        cache.clear()  # workers live on; what they keep counts against the stages that follow
 
     return texts(docs, key, text).mapInArrow(run, PIECE)
 
