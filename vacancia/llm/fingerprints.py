@@ -13,16 +13,17 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vacancia.llm.common import new_folder, shuffle_partitions, stored, texts
+from vacancia.llm.common import shuffle_partitions, texts
 from vacancia.llm.words import BASE, MARKS, groups, mix, word_hashes
 
 # Common words of English, German, French and Spanish that serve as anchors.
@@ -108,7 +109,6 @@ FIELDS = [
     ("near_next", pa.float64(), "double"),
 ]
 SCHEMA = ", ".join(f"{name} {kind}" for name, _, kind in FIELDS)
-DONE, HEAD, TAIL = range(3)
 
 
 def edit(text: str, following: str) -> str:
@@ -133,52 +133,54 @@ def compare(keys: list, bodies: list[bytes], nexts: list[bytes]) -> list[tuple]:
     ]
 
 
-def _batch(rows: list[tuple], more: list[tuple]) -> pa.RecordBatch:
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
     columns = list(zip(*rows)) or [()] * len(FIELDS)
     arrays = [pa.array(c, kind) for c, (_, kind, _) in zip(columns, FIELDS)]
-    extra = list(zip(*more)) or [()] * 3
-    arrays += [pa.array(extra[0], pa.int32()), pa.array(extra[1], pa.int32()), pa.array(extra[2], pa.binary())]
-    return pa.RecordBatch.from_arrays(arrays, [*(f[0] for f in FIELDS), "part", "kind", "body"])
+    return pa.RecordBatch.from_arrays(arrays, [f[0] for f in FIELDS])
+
+
+def _ranges(rows: DataFrame, parts: int) -> DataFrame:
+    """Rows with the number of their key's range (0 lowest; keys that are null have their own)."""
+    cuts = rows.select(F.col("doc_id").cast("double")).approxQuantile("doc_id", [i / parts for i in range(1, parts)], 0.1 / parts)
+    splits = [-math.inf, *sorted(set(cuts)), math.inf]
+    keyed = rows.withColumn("point", F.coalesce(F.col("doc_id").cast("double"), F.lit(float("nan"))))
+    bucketer = Bucketizer(splits=splits if len(splits) > 2 else [-math.inf, 0.0, math.inf], inputCol="point", outputCol="range", handleInvalid="keep")
+    ranged = bucketer.transform(keyed).drop("point")
+    return ranged.withColumn("range", F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(F.col("range").cast("int")))
 
 
 def compare_neighbours(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """FIELDS for every row, against its edited text and the next text in descending key order.
 
-    The texts are range-sorted once; a task compares its own neighbours. The first and last text of
-    each range are stored apart and joined, one pair per range.
+    Ranges of keys follow from approximate quantiles. A range also receives the first text of the
+    next one, so a task compares all its neighbours, and texts are shuffled once and stored nowhere.
+    What the driver sees is one key per range.
     """
     spark = docs.sparkSession
+    rows = texts(docs, key, text)
+    parts = shuffle_partitions(spark)
+    ranged = _ranges(rows, 4 * parts)
+    tops = sorted(((r["range"], r["top"]) for r in ranged.groupBy("range").agg(F.max("doc_id").alias("top")).collect()), reverse=True)
+    after = [(tops[i][0], *tops[(i + 1) % len(tops)]) for i in range(len(tops))]  # (range, next range, its first key)
+    after = spark.createDataFrame(after, "target int, range_ int, top long")
+    first = (F.col("range") == F.col("range_")) & F.col("doc_id").eqNullSafe(F.col("top"))
+    heads = ranged.join(F.broadcast(after), first).groupBy("target").agg(F.min("body").alias("body"))
+    heads = heads.select(F.col("target").alias("range"), F.lit(1).alias("follows"), F.lit(None).cast("long").alias("doc_id"), "body")
+    laid = ranged.select("range", F.lit(0).alias("follows"), "doc_id", "body").unionByName(heads)
     down = F.col("doc_id").desc_nulls_last()
-    ordered = texts(docs, key, text).repartitionByRange(shuffle_partitions(spark), down).sortWithinPartitions(down, "body")
+    laid = laid.repartition(parts, "range").sortWithinPartitions("range", "follows", down, "body")
 
     def walk(batches):
-        part, held = TaskContext.get().partitionId(), None
+        held = None
         for batch in batches:
+            ranges, ends = batch.column("range").to_pylist(), batch.column("follows").to_pylist()
             keys, bodies = batch.column("doc_id").to_pylist(), batch.column("body").to_pylist()
             if not keys:
                 continue
-            more = [] if held else [(part, HEAD, bodies[0])]
             if held:
-                keys, bodies = [held[0], *keys], [held[1], *bodies]
-            held = keys[-1], bodies[-1]
-            rows = compare(keys[:-1], bodies[:-1], bodies[1:])
-            blank = [(None,) * len(FIELDS)] * len(more)
-            yield _batch(blank + rows, more + [(part, DONE, None)] * len(rows))
-        if held:
-            yield _batch([(held[0],) + (None,) * (len(FIELDS) - 1)], [(part, TAIL, held[1])])
-
-    walked = stored(ordered.mapInArrow(walk, f"{SCHEMA}, part int, kind int, body binary"), new_folder(spark, "neighbours"))
-    heads = walked.filter(F.col("kind") == HEAD).select(F.col("part").alias("next"), F.col("body").alias("following"))
-    parts = walked.filter(F.col("kind") == HEAD).select("part")  # one row per range
-    order = Window.orderBy("part")
-    around = F.first("part").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    parts = parts.select("part", F.coalesce(F.lead("part").over(order), around).alias("next"))
-    tails = walked.filter(F.col("kind") == TAIL).select("part", "doc_id", "body").join(parts, "part").join(heads, "next")
-
-    def close(batches):
-        for batch in batches:
-            rows = compare(*(batch.column(c).to_pylist() for c in ("doc_id", "body", "following")))
-            yield _batch(rows, [(0, DONE, None)] * len(rows)).select([f[0] for f in FIELDS])
+                ranges, ends, keys, bodies = ([h, *x] for h, x in zip(held, (ranges, ends, keys, bodies)))
+            held = ranges[-1], ends[-1], keys[-1], bodies[-1]
+            own = [i for i in range(len(keys) - 1) if not ends[i]]
+            yield _batch(compare([keys[i] for i in own], [bodies[i] for i in own], [bodies[i + 1] for i in own]))
 
-    closed = tails.select("doc_id", "body", "following").mapInArrow(close, SCHEMA)
-    return walked.filter(F.col("kind") == DONE).select(*(f[0] for f in FIELDS)).unionByName(closed)
+    return laid.mapInArrow(walk, SCHEMA)
