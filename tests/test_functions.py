@@ -177,3 +177,10 @@ def test_ids(spark):
     assert one(spark, ids.slug_id(L("https://h/x"))) == hashlib.sha1(b"https://h/x").hexdigest()[:12]
     want = hashlib.md5(b"src_title").hexdigest()[:12]
     assert one(spark, ids.job_id(L(" SRC"), L(None), L("Title "))) == want
+
+
+def test_white_space_of_any_kind_is_cut_off(spark):
+    from vacancia.functions.text import map_city
+
+    df = spark.createDataFrame([("\nالرياض\n",), ("Riyadh\xa0",), ("\tRiyadh ",)], "c string")
+    assert {r[0] for r in df.select(map_city(df.c)).collect()} == {"Riyadh"}

@@ -14,6 +14,17 @@ _CASED_RUNS = r"([\p{Lu}\p{Ll}\p{Lt}]+|[^\p{Lu}\p{Ll}\p{Lt}]+)"
 _TO_COLLAPSE = r"\s{2,}|[\t\n\x0B\f\r]"
 
 
+# The Unicode white space that is cut off the ends of values.
+_WHITE_SPACE = "".join(
+    map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
+)
+
+
+def strip(col: Column) -> Column:
+    """The value without white space of any kind at its ends."""
+    return F.btrim(col, F.lit(_WHITE_SPACE))
+
+
 def is_present(col: Column) -> Column:
     """Neither null nor one of the words that stand for an empty value."""
     return col.isNotNull() & ~F.lower(F.trim(col)).isin(V.EMPTY_WORDS)
@@ -70,7 +81,7 @@ def _capitalize(run: Column) -> Column:
 def map_city(col: Column, names: dict[str, str] | None = None) -> Column:
     """Known spelling -> city name (lower-cased key first, then the exact one), else title case."""
     names = V.CITY_NAMES if names is None else names
-    city = F.trim(col)
+    city = strip(col)
     # One literal that Spark folds into a map, instead of an expression per spelling.
     pairs = "\x01".join(f"{spelling}\x02{name}" for spelling, name in names.items())
     table = F.str_to_map(F.lit(pairs), F.lit("\x01"), F.lit("\x02"))
@@ -86,7 +97,7 @@ def city_from_location(city: Column, location: Column) -> Column:
     """The given city, else the last comma-separated part of the location."""
     return F.coalesce(
         F.nullif(city, F.lit("")),
-        F.trim(F.substring_index(F.coalesce(location, F.lit("")), ",", -1)),
+        strip(F.substring_index(F.coalesce(location, F.lit("")), ",", -1)),
     )
 
 

@@ -16,7 +16,7 @@ from vacancia.functions.arrays import join_list, kv_map
 from vacancia.functions.classify import classify_tags
 from vacancia.functions.dates import lenient_iso
 from vacancia.functions.ids import slug_id
-from vacancia.functions.text import first_truthy
+from vacancia.functions.text import first_truthy, strip
 from vacancia.functions.urls import absolute_url
 from vacancia.schemas import PAGE_STATE
 
@@ -141,7 +141,7 @@ def project_fields(df: DataFrame, record: str, spec: dict[str, str], lists: list
         if name in lists:
             return F.array_join(F.coalesce(value, F.array().cast("array<string>")), ", ")
         if name in trimmed:
-            return F.trim(F.coalesce(value, F.lit("")))
+            return strip(F.coalesce(value, F.lit("")))
         return value
 
     others = [c for c in df.columns if c != record]
@@ -159,7 +159,7 @@ def flat_a_records(pages: DataFrame, stamp: str) -> DataFrame:
     text = embedded_text(F.col("html"), V.ESCAPED_MARKER, V.ESCAPED_OPENER, escaped=True)
     fields = {"description": FieldSpec(["div.desc"])}
     described = extract_fields(pages, "html", fields).select(
-        "url", F.col("fields.description")[0].alias("description"), F.from_json(text, schema).alias("_r")
+        "url", F.try_element_at("fields.description", F.lit(1)).alias("description"), F.from_json(text, schema).alias("_r")
     )
     records = described.filter(F.col("_r")["jobPositionValue"].isNotNull() | F.col("_r")["id"].isNotNull())
     return project_fields(records, "_r", FLAT_A_FIELDS, _LISTS, _TRIMMED).withColumn("collected_at", F.lit(stamp))
