@@ -37,7 +37,9 @@ from vacancia.llm.words import BASE, SPACES, groups, mix, word_hashes
 
 WORDS = 5
 #: Text characters per bucket of the screen; n-grams per bucket of the count: bound a task's memory.
-BUCKET_CHARS, BUCKET_GRAMS = 48 << 20, 4 << 20
+BUCKET_CHARS, BUCKET_GRAMS = 24 << 20, 2 << 20
+#: Sets are kept together in chunks of at least so many n-grams.
+CHUNK_GRAMS = 400_000
 #: A block of a hub holds so many sets, or so many n-grams.
 BLOCK_SETS, BLOCK_GRAMS = 256, 200_000
 #: n-grams are told in the screen by so many bytes of their hash; equal beginnings only add work.
@@ -176,18 +178,26 @@ CHUNK = "chunk long, names binary, sizes binary, lengths binary, grams binary"
 def _chunks(docs: DataFrame) -> DataFrame:
     """The whole n-gram sets of documents, a row for many."""
 
+    def chunk(number: int, held: dict[int, np.ndarray]) -> pa.RecordBatch:
+        lengths = np.array([len(g) for g in held.values()], "<i8").tobytes()
+        row = [number, np.array([*held], "<i8").tobytes(), lengths, lengths, np.concatenate([*held.values()]).astype("<u8").tobytes()]
+        return pa.RecordBatch.from_arrays([pa.array([x]) for x in row], ["chunk", "names", "sizes", "lengths", "grams"])
+
     def run(batches):
         part, turn = TaskContext.get().partitionId(), 0
         for batch in batches:
             held: dict[int, np.ndarray] = {}
+            size = 0
             for grams in gram_sets(batch.column("body").to_pylist()):
                 if len(grams):
                     held[set_name(grams)] = grams
+                    size += len(grams)
+                if size >= CHUNK_GRAMS:
+                    yield chunk(part << 32 | turn, held)
+                    held, size, turn = {}, 0, turn + 1
             if held:
-                lengths = np.array([len(g) for g in held.values()], "<i8").tobytes()
-                row = [part << 32 | turn, np.array([*held], "<i8").tobytes(), lengths, lengths, np.concatenate([*held.values()]).astype("<u8").tobytes()]
+                yield chunk(part << 32 | turn, held)
                 turn += 1
-                yield pa.RecordBatch.from_arrays([pa.array([x]) for x in row], ["chunk", "names", "sizes", "lengths", "grams"])
 
     return texts(docs, "doc_id", "text").mapInArrow(run, CHUNK)
 
