@@ -313,7 +313,7 @@ def _(spark, sf_dir):
             F.struct(F.length("html").alias("n")).alias("inner"),
         )
     )
-    body = F.concat(F.lit("<script>App.state = "), state, F.lit(";\n</script>}"), "html")
+    body = F.concat(F.lit("<script>if (App.state) { go({}) } App.state = "), state, F.lit(";\n</script>}"), "html")
     found = pages.select("page_id", X.extract_embedded_json(body, "App.state").alias("j"))
     return found.select(
         "page_id",

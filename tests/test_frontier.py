@@ -95,3 +95,16 @@ def test_sitemap(spark):
     xml = "<urlset><url><loc>\n https://h/a?x=1&amp;y=2 </loc><image:loc>no</image:loc></url><url><loc>https://h/b</loc></url></urlset>"
     rows = R.extract_locs(spark.createDataFrame([(1, xml)], "id int, xml string"), "xml").collect()
     assert [(r["pos"], r["url"]) for r in rows] == [(0, "https://h/a?x=1&y=2"), (1, "https://h/b")]
+
+
+def test_run_stops_before_a_missing_page(spark):
+    pages = [(s, p, 2, 1) for s, ps in {"a": [0, 1, 3, 4], "b": range(6, 12), "c": [7, 9], "d": [6, 7, 8, 20]}.items() for p in ps]
+    stats = spark.createDataFrame(pages, "source string, page long, n_links long, n_new long")
+    got = {r["source"]: r["stop_page"] for r in R.stop_pages(stats, "source", "page", 2, block=8).collect()}
+    assert got == {"a": 1, "b": 11, "c": 7, "d": 8}
+
+
+def test_links_in_all_quotings(spark):
+    html = """<a href='/1'><A class=x HREF = "/2?a=1&amp;b=2"><a data-href="/no" href=/3><!-- <a href="/no"> --><a data-href="/no">"""
+    row = spark.createDataFrame([(html,)], "html string").select(R.hrefs(F.col("html")).alias("l")).first()
+    assert row["l"] == ["/1", "/2?a=1&b=2", "/3"]

@@ -1,6 +1,7 @@
 """Landing files, tables and exports on hand-made files."""
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -179,3 +180,19 @@ def test_gate_stops(spark, tmp_path, bad):
     B.upsert_table(spark, path, silver_rows(spark, [{"job_id": "1"}, {"job_id": "2", "city": "y", **bad}]), ["job_id"], 4)
     with pytest.raises(QualityError):
         P.gate_silver(spark, path, 4)
+
+
+def test_unreadable_landing_is_not_lost(spark, tmp_path):
+    landing, bronze, kept = (str(tmp_path / n) for n in ("in", "bronze", "quarantine"))
+    os.mkdir(landing)
+    whole = json.dumps([{"id": "1"}, {"id": "2"}], indent=2)
+    files = {"sabbar_1.json": whole, "sabbar_2.json": whole[:-10], "sabbar_3.json": '[{"id":"1"},{"id":broken}]', "sabbar_4.json": '[{"id":"9"}]'}
+    for name, text in files.items():
+        with open(f"{landing}/{name}", "w") as f:
+            f.write(text)
+    with pytest.raises(ValueError):
+        load_bronze(spark, landing, bronze, CTX)
+    load_bronze(spark, landing, bronze, CTX, quarantine=kept)
+    lost = {(r["_source_file"].split("/")[-1], r["reason"]) for r in spark.read.parquet(kept).collect()}
+    assert {("sabbar_2.json", "cut off"), ("sabbar_3.json", "broken")} <= lost
+    assert not {n for n, _ in lost} & {"sabbar_1.json", "sabbar_4.json"}

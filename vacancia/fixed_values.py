@@ -20,6 +20,9 @@ STATE_MARKER = "Wuzzuf.initialStoreState"
 ESCAPED_MARKER = '\\"jobPositionValue\\"'
 ESCAPED_OPENER = '{\\"id\\":'
 
+# Name of postings without a member of a dimension in demand reports.
+NO_MEMBER = "(none)"
+
 # Operating limits.
 MIN_FILE_BYTES = 11
 KNOWN_PAGES_NESTED = 9

@@ -27,15 +27,16 @@ from vacancia.schemas import PAGE_STATE
 def embedded_text(html: Column, marker: str, opener: str | None = None, escaped: bool = False) -> Column:
     """Page text from the start of the object a marker points at; null if the marker is absent.
 
-    Without `opener` the object starts at the first `{` after the marker. With it the marker lies
-    inside the object, which starts at the last `opener` (else the last `{`) before the marker.
+    Without `opener` the object is what is first assigned to the marker; a mention of the marker
+    without `= {` after it does not count. With `opener` the marker lies inside the object, which starts at the last `opener` (else the last `{`) before the marker.
     `escaped` undoes one level of backslash escaping.
     """
-    at = F.instr(html, marker)
     if opener is None:
-        rest = F.substr(html, at + F.lit(len(marker)))
-        text = F.substr(rest, F.nullif(F.instr(rest, "{"), F.lit(0)))
+        at = F.regexp_instr(html, F.lit(rf"\Q{marker}\E\s*=\s*\{{"))
+        rest = F.substr(html, at)
+        text = F.substr(rest, F.instr(rest, "{"))
     else:
+        at = F.instr(html, marker)
         before = F.substr(html, F.lit(1), at - 1)
 
         def tail(token: str) -> Column:

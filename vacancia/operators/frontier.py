@@ -29,8 +29,14 @@ def extract_locs(df: DataFrame, xml_col: str) -> DataFrame:
 
 
 def hrefs(html: Column, before: str = "") -> Column:
-    """Link targets of all anchors, optionally only of anchors right after a pattern."""
-    return F.regexp_extract_all(html, F.lit(before + r'<a\s[^>]*href="([^"]*)"'), F.lit(1))
+    """Link targets of all anchors, optionally only of anchors right after a pattern.
+
+    Values may stand in either quotes or none; comments and scripts hold no anchors.
+    """
+    bare = F.regexp_replace(html, r"(?is)<!--.*?-->|<script\b.*?</script\s*>", "")
+    anchor = rf"(?i){before}<a\s(?:[^>]*?\s)?href\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)"
+    found = F.regexp_extract_all(F.when(html.rlike(r"(?i)<!--|<script"), bare).otherwise(html), F.lit(anchor), F.lit(1))
+    return F.transform(found, lambda v: unescape_entities(F.regexp_replace(v, r"""^["']|["']$""", "")))
 
 
 def extract_links(df: DataFrame, html_col: str, contains: str = "") -> DataFrame:
@@ -73,27 +79,33 @@ def stop_pages(
     """Per source, the last page a run reads.
 
     A run stops at the n-th consecutive page without unseen links, at the first page without links,
-    or at the page cap (0 = no cap); page numbers are consecutive. A run of n pages is at most n
-    long, so pages are cut into blocks and each block also sees the n-1 pages before it: no source
-    has to fit into one task.
+    before a page that is missing because it failed to load, or at the page cap (0 = no cap). A run
+    of n pages is at most n long, so pages are cut into blocks and each block also sees the n-1 pages
+    before it and the one after it: no source has to fit into one task.
     """
     block = max(block, n)
     home = F.floor(F.col(page) / block)
     next_block = F.when(F.pmod(F.col(page), F.lit(block)) >= block - (n - 1), home + 1)
+    block_before = F.when(F.pmod(F.col(page), F.lit(block)) == 0, home - 1)
     spread = stats.select(
-        source, page, "n_links", "n_new", F.explode(F.array_compact(F.array(home, next_block))).alias("_block")
-    )
+        source, page, "n_links", "n_new", home.alias("_home"),
+        F.explode(F.array_compact(F.array(home, next_block, block_before))).alias("_block"),
+    )
+    in_order = Window.partitionBy(source, "_block").orderBy(page)
     last_n = Window.partitionBy(source, "_block").orderBy(page).rangeBetween(-(n - 1), 0)
     streaks = spread.select(
         source,
         page,
         "n_links",
+        (F.col("_home") == F.col("_block")).alias("_at_home"),
+        F.lead(page).over(in_order).alias("_next"),
         F.count(F.lit(1)).over(last_n).alias("_pages"),
         F.sum(F.when(F.col("n_new") > 0, 1).otherwise(0)).over(last_n).alias("_productive"),
     )
     caught_up = (F.col("_pages") == n) & (F.col("_productive") == 0)
+    next_missing = F.col("_at_home") & (F.col("_next").isNull() | (F.col("_next") > F.col(page) + 1))
     stops = streaks.groupBy(source).agg(
-        F.min(F.when(caught_up | (F.col("n_links") == 0), F.col(page))).alias("_stop"),
+        F.min(F.when(caught_up | (F.col("n_links") == 0) | next_missing, F.col(page))).alias("_stop"),
         F.min(page).alias("_first"),
         F.max(page).alias("_last"),
     )

@@ -38,7 +38,8 @@ def _no_rows() -> Column:
 
 
 def _repeats(key: str) -> Column:
-    return F.count(F.lit(1)) - F.count_distinct(F.col(key))
+    """Rows beyond the first of each value; null is a value."""
+    return F.count(F.lit(1)) - F.count_distinct(F.col(key)) - F.when(F.count_if(F.col(key).isNull()) > 0, 1).otherwise(0)
 
 
 def _blanks(col: str) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vacancia import fixed_values as V
+
 NEWEST_FIRST = ["posted_date_key", "job_id"]
 
 
@@ -39,14 +41,14 @@ def demand(fact: DataFrame, dims: dict[str, DataFrame], by: str, links: DataFram
     """Postings and distinct companies per city, company, source or skill.
 
     Facts are reduced to counts per pair of keys before names are joined, so neither a shared key
-    nor its name travels once per posting.
+    nor its name travels once per posting. Postings without a member count under `V.NO_MEMBER`.
     """
     dim, key, name = DEMAND_BY[by]
     rows = fact.select("job_posting_key", "company_key", "location_key", "source_key")
     if by == "skill":
         rows = rows.join(links, "job_posting_key")
     pairs = rows.groupBy(*dict.fromkeys([key, "company_key"])).agg(F.count(F.lit(1)).alias("_n"))
-    named = pairs.join(dims[dim].select(key, name), key)
+    named = pairs.join(dims[dim].select(key, name), key, "left").withColumn(name, F.coalesce(name, F.lit(V.NO_MEMBER)))
     return named.groupBy(name).agg(
         F.sum("_n").alias("postings"), F.count_distinct("company_key").alias("companies")
     )

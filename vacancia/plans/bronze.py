@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from vacancia import fixed_values as V
 from vacancia import schemas as S
 from vacancia.context import RunContext
 from vacancia.operators.unify import unify, unify_flat_a, unify_flat_b, unify_nested
-from vacancia.sources.landing import landing_files, latest_per_source, read_postings
+from vacancia.sources.landing import cut_off_files, landing_files, latest_per_source, read_pieces, read_postings
 from vacancia.sources.tables import with_ingest_metadata, write_batch
 
 # File prefix -> raw schema and mapping.
@@ -48,14 +49,45 @@ def any_case(prefix: str) -> str:
     return "".join(f"[{c.lower()}{c.upper()}]" for c in prefix)
 
 
+def any_landed(folder: str) -> str:
+    """One pattern for the files of all sources; it fits if any of them has landed."""
+    return f"{folder}/{{{','.join(map(any_case, SHAPES))}}}*.[jJ][sS][oO][nN]"
+
+
 def corrupt_pieces(spark: SparkSession, folder: str) -> DataFrame:
     """Text of the landed pieces that are no JSON, with their file."""
-    paths = [f"{folder}/{any_case(p)}*.[jJ][sS][oO][nN]" for p in SHAPES]
-    raw = read_postings(spark, paths, S.RAW_FLAT_A)
+    raw = read_postings(spark, any_landed(folder), S.RAW_FLAT_A)
     return raw.filter("_corrupt_record IS NOT NULL").select("_source_file", "_corrupt_record")
 
 
-def load_bronze(spark: SparkSession, landing: str, bronze: str, ctx: RunContext, latest_only: bool = False) -> None:
-    """Write the landed records as one batch; a repeated run replaces the batch."""
+def unreadable(spark: SparkSession, folder: str) -> DataFrame:
+    """_source_file, reason and text of what landed but cannot be read: broken pieces, cut-off files."""
+    try:
+        broken = corrupt_pieces(spark, folder).select("_source_file", F.lit("broken").alias("reason"), "_corrupt_record")
+        cut = cut_off_files(read_pieces(spark, any_landed(folder)))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "_source_file string, reason string, _corrupt_record string")
+    return broken.unionByName(cut.select("_source_file", F.lit("cut off").alias("reason")), allowMissingColumns=True)
+
+
+def load_bronze(
+    spark: SparkSession,
+    landing: str,
+    bronze: str,
+    ctx: RunContext,
+    latest_only: bool = False,
+    quarantine: str | None = None,
+) -> None:
+    """Write the landed records as one batch; a repeated run replaces the batch.
+
+    What cannot be read goes to the `quarantine` table; without one the load stops before it writes.
+    """
+    lost = unreadable(spark, landing)
+    if quarantine:
+        write_batch(with_ingest_metadata(lost, ctx), quarantine, ctx)
+    elif (first := lost.first()) is not None:
+        raise ValueError(f"landed file cannot be read ({first['reason']}): {first['_source_file']}")
     rows = with_ingest_metadata(landed_postings(spark, landing, latest_only), ctx)
     write_batch(rows, bronze, ctx)

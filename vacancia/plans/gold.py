@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass, replace
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,9 +84,11 @@ def dim_increments(prepared: DataFrame, dims: dict[str, DataFrame]) -> dict[str,
     return {**added, "date": missing_from(days, dims["date"], ["date_key"])}
 
 
-def changed_rows(silver: DataFrame, gold: Gold, pipeline: str) -> tuple[DataFrame, str | None]:
-    """Prepared Silver rows stamped after the watermark, and their highest stamp."""
-    changes = D.since(silver, "collected_at", D.read_watermark(gold.watermark, pipeline))
+def changed_rows(
+    silver: DataFrame, gold: Gold, pipeline: str, lookback: timedelta = timedelta(0)
+) -> tuple[DataFrame, str | None]:
+    """Prepared Silver rows stamped after the watermark less the lookback, and their highest stamp."""
+    changes = D.since(silver, "collected_at", D.read_watermark(gold.watermark, pipeline), lookback)
     return D.prepare(changes), changes.agg(F.max("collected_at")).first()[0]
 
 
@@ -147,15 +150,19 @@ def read_gold(spark: SparkSession, folder: str) -> Gold:
     )
 
 
-def load_gold(silver: DataFrame, folder: str, pipeline: str = V.PIPELINE_NAME) -> Gold:
+def load_gold(
+    silver: DataFrame, folder: str, pipeline: str = V.PIPELINE_NAME, lookback: timedelta = timedelta(0)
+) -> Gold:
     """Add what is new in Silver to the stored star schema; repeating it changes nothing.
 
+    Rows that reach Silver with a stamp before the watermark are found again within `lookback`.
+
     Dimensions go first, then facts, skills, links and, last, the watermark. A load that breaks off leaves
     the watermark where it was: the next one sees the same rows again and adds what is missing.
     """
     spark = silver.sparkSession
     gold = read_gold(spark, folder)
-    prepared, stamp = changed_rows(silver, gold, pipeline)
+    prepared, stamp = changed_rows(silver, gold, pipeline, lookback)
     if stamp is None:
         return gold
     for name, rows in dim_increments(prepared, gold.dims).items():

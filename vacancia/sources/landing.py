@@ -91,6 +91,15 @@ def read_pieces(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     )
 
 
+def cut_off_files(pieces: DataFrame) -> DataFrame:
+    """Files whose array is never closed: an upload that broke off."""
+    one = F.json_array_length("value").isNotNull()  # of a file in one piece
+    closed = F.col("value").rlike(r"(^|[\r\n])\][\s\x{FEFF}]*$")
+    blank = F.regexp_replace("value", r"[\s\x{FEFF}]+", "") == ""
+    files = pieces.filter(~blank).groupBy("_source_file").agg(F.bool_or(one | closed).alias("_whole"))
+    return files.filter(~F.col("_whole")).select("_source_file")
+
+
 def read_postings(spark: SparkSession, paths: str | list[str], schema: T.StructType) -> DataFrame:
     """Records of JSON-array files under an explicit schema, with their file's name and size."""
     return parse_pieces(read_pieces(spark, paths), schema)

@@ -88,10 +88,12 @@ def upsert_stream(
         micro = _micro(ctx, name, epoch)
         # Both outputs read the micro-batch; its files are still there should a cached part be lost.
         cached = batch.persist()
-        rows, rejects = silver_batch(with_ingest_metadata(cached, micro), ctx.now)
-        append_once(rejects, rejected, micro)
-        upsert_table(batch.sparkSession, silver, rows, ["job_id"], buckets)
-        cached.unpersist()
+        try:
+            rows, rejects = silver_batch(with_ingest_metadata(cached, micro), ctx.now)
+            append_once(rejects, rejected, micro)
+            upsert_table(batch.sparkSession, silver, rows, ["job_id"], buckets)
+        finally:
+            cached.unpersist()
 
     return _start(bronze, checkpoint, write)
 
