@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from checks import sql as Q
-from checks.bronze_silver import CTX, landed, silver
+from checks.bronze_silver import CTX, FLAT_B_OF_RAW, array_files, landed, silver
 from checks.postings import raw_postings
 from checks.registry import check, scratch, table
 from vacancia import fixed_values as V
@@ -24,6 +24,17 @@ from vacancia.sources.tables import read_keyed, read_table
 from vacancia.streaming import ingest as K
 
 CUTOFF = "2028-03-01 00:00:00"
+# Bronze columns of postings that landed as records of flat portal B.
+LANDED_LIST = ", ".join(
+    {
+        "source": "'Tanqeeb' AS source",
+        "raw_company_name": "nullif(raw_company_name, '') AS raw_company_name",
+        "raw_country": "coalesce(raw_country, 'Saudi Arabia') AS raw_country",
+        "raw_city": "coalesce(raw_city, '') AS raw_city",
+        "raw_experience": "nullif(raw_experience, '') AS raw_experience",
+    }.get(name, name)
+    for name in S.BRONZE_COLUMNS
+)
 
 
 def star(spark: SparkSession, sf_dir: str) -> G.Gold:
@@ -355,7 +366,7 @@ def _(spark, sf_dir):
 # --- streaming ----------------------------------------------------------------------------------
 
 
-@check("k1_ingest_stream", f"{Q.WITH_RAW} SELECT raw_job_id, raw_job_title, raw_job_url, raw_skills FROM raw")
+@check("k1_ingest_stream", f"{Q.WITH_RAW} SELECT {LANDED_LIST} FROM raw")
 def _(spark, sf_dir):
     """Two runs over one landing folder: the second finds nothing new."""
     landing, path, state = landed(spark, sf_dir), scratch(spark), scratch(spark)
@@ -363,7 +374,7 @@ def _(spark, sf_dir):
         rows = K.bronze_stream(spark, landing, V.FILE_PREFIXES[2], pattern="*.txt")
         K.bronze_writer(rows, path, state, CTX, "landing").awaitTermination()
     stored = read_table(spark, path, S.BRONZE)
-    return stored.select("raw_job_id", "raw_job_title", "raw_job_url", "raw_skills")
+    return stored.select(*S.BRONZE_COLUMNS)
 
 
 STREAM_SQL = (
@@ -373,6 +384,30 @@ STREAM_SQL = (
 )
 
 
+@check(
+    "a4_batch_lifecycle",
+    """SELECT unnest(['first run', 'second run', 'records', 'broken', 'cut off']) AS what, unnest([
+         count(*) FILTER (o_orderkey // 1000 % 2 = 0 AND o_orderkey % 50 <> 7),
+         count(*) FILTER (o_orderkey // 1000 % 2 = 0 AND o_orderkey % 50 <> 7), count(*) FILTER (o_orderkey % 50 <> 7),
+         count(*) FILTER (o_orderkey % 50 = 7), count(DISTINCT o_orderkey // 1000) FILTER (o_orderkey // 1000 % 5 = 1)]) AS n
+       FROM orders""",
+)
+def _(spark, sf_dir):
+    """Half the files land, a run finds nothing new, the others land; some records and files are damaged."""
+    landing, path, bad, state = scratch(spark), scratch(spark), scratch(spark), scratch(spark)
+    raw = raw_postings(spark, sf_dir).select("k", *[F.col(v).alias(n) for n, v in FLAT_B_OF_RAW.items()])
+    even = F.floor(F.col("k") / 1000) % 2 == 0
+    counts = []
+    for wave in (raw.filter(even), None, raw.filter(~even)):
+        if wave is not None:
+            array_files(wave, landing, damaged=True)
+        K.load_landing(spark, landing, V.FILE_PREFIXES[2], path, bad, state, CTX, pattern="*.txt").awaitTermination()
+        counts.append(read_table(spark, path, S.BRONZE).count())
+    rows = spark.createDataFrame(list(zip(("first run", "second run", "records"), counts)), "what string, n long")
+    lost = spark.read.parquet(bad).groupBy(F.col("reason").alias("what")).agg(F.count(F.lit(1)).alias("n"))
+    return rows.unionByName(lost)
+
+
 @check("k2_upsert_stream", f"{STREAM_SQL} SELECT * FROM silver")
 def _(spark, sf_dir):
     """Landing files to Silver by stream."""

@@ -10,7 +10,7 @@ from vacancia import schemas as S
 from vacancia.context import RunContext
 from vacancia.operators.quality import QualityError
 from vacancia.plans import silver as P
-from vacancia.plans.bronze import corrupt_pieces, landed_postings, load_bronze
+from vacancia.plans.bronze import landed_postings, load_bronze, unreadable
 from vacancia.sources import json_export as J
 from vacancia.sources import landing as L
 from vacancia.sources import tables as B
@@ -45,9 +45,11 @@ def landing(tmp_path):
 
 def test_inventory_and_latest(spark, landing):
     files = {r["name"]: r["source"] for r in L.landing_files(spark, landing).collect()}
-    assert files == {"Wuzzuf_2026-09-21.json": "wuzzuf", "tanqeeb_1.json": "tanqeeb", "tanqeeb_2.json": "tanqeeb"}
+    assert files == {
+        "Wuzzuf_2026-09-21.json": "wuzzuf", "tanqeeb_1.json": "tanqeeb", "tanqeeb_2.json": "tanqeeb", "sabbar_1.json": "sabbar"
+    }
     latest = {r["name"] for r in L.latest_per_source(L.landing_files(spark, landing)).collect()}
-    assert latest == {"Wuzzuf_2026-09-21.json", "tanqeeb_2.json"}
+    assert latest == {"Wuzzuf_2026-09-21.json", "tanqeeb_2.json", "sabbar_1.json"}
 
 
 def test_landed_postings(spark, landing):
@@ -60,6 +62,14 @@ def test_landed_postings(spark, landing):
     assert only == {"a", "b", "8", ""}
 
 
+def test_latest_file_is_the_last_with_records_however_short(spark, tmp_path):
+    for name, text in {"sabbar_1.json": '[{"id":3}]', "sabbar_2.json": '[{"a":1}]', "sabbar_3.json": "[]", "sabbar_4.json": " " * 50}.items():
+        (tmp_path / name).write_text(text)
+    rows = landed_postings(spark, str(tmp_path), latest_only=True).collect()
+    assert [r["raw_job_id"] for r in rows] == [""]
+    assert landed_postings(spark, str(tmp_path)).count() == 2
+
+
 def test_nothing_landed(spark, tmp_path):
     assert landed_postings(spark, str(tmp_path)).count() == 0
     assert landed_postings(spark, str(tmp_path), latest_only=True).count() == 0
@@ -71,7 +81,7 @@ def test_corrupt_file_is_kept_apart(spark, landing):
     rows = L.read_postings(spark, landing + "/sabbar_2.json", S.RAW_FLAT_A).collect()
     assert sorted(str(r["id"]) for r in rows) == ["1", "3", "None"]
     assert [("broken" in r["_corrupt_record"]) for r in rows if r["id"] is None] == [True]
-    assert corrupt_pieces(spark, landing).count() == 1
+    assert unreadable(spark, landing).filter("reason = 'broken'").count() == 1
 
 
 def test_file_record_counts(spark, landing):

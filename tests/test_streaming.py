@@ -3,6 +3,8 @@
 import json
 import os
 
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from vacancia import fixed_values as V
@@ -49,6 +51,29 @@ def test_files_are_read_once_and_archived(spark, tmp_path):
     assert "Tanqeeb_1.json" in archived and "other.json" in os.listdir(landing)
 
 
+def test_unreadable_pieces_stop_the_stream_or_are_put_aside(spark, tmp_path):
+    landing, bronze, kept, state, other = (str(tmp_path / n) for n in ("landing", "bronze", "kept", "state", "other"))
+    prefix = V.FILE_PREFIXES[2]
+    put(landing, "tanqeeb_1.json", [posting(1), posting(2)])
+    with open(landing + "/tanqeeb_2.json", "w") as f:
+        f.write(json.dumps([posting(3), posting(4), posting(5)], indent=2).replace('"id": 4', '"id": four'))
+    with open(landing + "/tanqeeb_3.json", "w") as f:
+        f.write(json.dumps([posting(6), posting(7)], indent=2)[:-6])
+    with pytest.raises(StreamingQueryException, match="cannot be read"):
+        K.bronze_writer(K.bronze_stream(spark, landing, prefix), bronze, other, CTX, "x").awaitTermination()
+
+    def run():
+        K.load_landing(spark, landing, prefix, bronze, kept, state, CTX).awaitTermination()
+        lost = [(r["_source_file"][-6], r["reason"]) for r in spark.read.parquet(kept).collect()]
+        return sorted(r["raw_job_id"] for r in B.read_table(spark, bronze, S.BRONZE).collect()), sorted(lost)
+
+    first = (["1", "2", "3", "5", "6", "7"], [("2", "broken"), ("3", "cut off")])
+    assert run() == first
+    assert run() == first
+    put(landing, "tanqeeb_4.json", [posting(8)])
+    assert run() == ([*first[0], "8"], first[1])
+
+
 def test_stream_equals_batch(spark, tmp_path):
     landing = str(tmp_path / "landing")
     put(landing, "tanqeeb_1.json", [posting(i) for i in range(40)] + [posting(50, title="N/A"), posting(51, country="Egypt")])

@@ -24,7 +24,6 @@ ESCAPED_OPENER = '{\\"id\\":'
 NO_MEMBER = "(none)"
 
 # Operating limits.
-MIN_FILE_BYTES = 11
 KNOWN_PAGES_NESTED = 9
 KNOWN_PAGES_FLAT_B = 80
 MAX_PAGES_FLAT_B = 1000

@@ -5,12 +5,21 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vacancia import fixed_values as V
 from vacancia import schemas as S
 from vacancia.context import RunContext
 from vacancia.operators.unify import unify, unify_flat_a, unify_flat_b, unify_nested
-from vacancia.sources.landing import cut_off_files, landing_files, latest_per_source, read_pieces, read_postings
+from vacancia.sources.landing import (
+    cut_off_files,
+    file_record_counts,
+    latest_per_source,
+    parse_pieces,
+    read_pieces,
+    read_postings,
+    source_of_name,
+)
 from vacancia.sources.tables import with_ingest_metadata, write_batch
 
 # File prefix -> raw schema and mapping.
@@ -24,18 +33,16 @@ SHAPES = {
 def landed_postings(spark: SparkSession, folder: str, latest_only: bool = False) -> DataFrame:
     """All landed records in the Bronze columns; empty if nothing has landed.
 
-    Every file of a source is read; `latest_only` takes just the last one by name.
+    Every file of a source is read; `latest_only` takes just the last one by name that holds records.
     """
     parts = [unify(spark.createDataFrame([], S.BRONZE))]
     for prefix, (schema, mapping) in SHAPES.items():
-        if latest_only:
-            files = latest_per_source(landing_files(spark, folder, [prefix]))
-            paths = [row["path"] for row in files.select("path").collect()]  # at most one
-        else:
-            paths = [f"{folder}/{any_case(prefix)}*.[jJ][sS][oO][nN]"]
-        if not paths:
-            continue
         try:
+            paths = [landed_files(folder, prefix)]
+            if latest_only:
+                paths = [row["path"] for row in latest_file(spark, paths, prefix).collect()]  # at most one
+            if not paths:
+                continue
             raw = read_postings(spark, paths, schema)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
@@ -49,27 +56,37 @@ def any_case(prefix: str) -> str:
     return "".join(f"[{c.lower()}{c.upper()}]" for c in prefix)
 
 
-def any_landed(folder: str) -> str:
-    """One pattern for the files of all sources; it fits if any of them has landed."""
-    return f"{folder}/{{{','.join(map(any_case, SHAPES))}}}*.[jJ][sS][oO][nN]"
+def landed_files(folder: str, prefix: str) -> str:
+    return f"{folder}/{any_case(prefix)}*.[jJ][sS][oO][nN]"
+
 
+def latest_file(spark: SparkSession, paths: list[str], prefix: str) -> DataFrame:
+    """The last file of a source by name; files without records do not count."""
+    name = F.substring_index("_source_file", "/", -1)
+    files = file_record_counts(spark, paths).filter("records > 0")
+    return latest_per_source(
+        files.select(F.col("_source_file").alias("path"), name.alias("name"), source_of_name(name, [prefix]).alias("source"))
+    )
 
-def corrupt_pieces(spark: SparkSession, folder: str) -> DataFrame:
-    """Text of the landed pieces that are no JSON, with their file."""
-    raw = read_postings(spark, any_landed(folder), S.RAW_FLAT_A)
-    return raw.filter("_corrupt_record IS NOT NULL").select("_source_file", "_corrupt_record")
+
+def lost_pieces(pieces: DataFrame, schema: T.StructType) -> DataFrame:
+    """_source_file, reason and text of what cannot be read as records: broken pieces, cut-off files."""
+    broken = parse_pieces(pieces, schema).filter("_corrupt_record IS NOT NULL")
+    broken = broken.select("_source_file", F.lit("broken").alias("reason"), "_corrupt_record")
+    cut = cut_off_files(pieces).select("_source_file", F.lit("cut off").alias("reason"))
+    return broken.unionByName(cut, allowMissingColumns=True)
 
 
 def unreadable(spark: SparkSession, folder: str) -> DataFrame:
-    """_source_file, reason and text of what landed but cannot be read: broken pieces, cut-off files."""
-    try:
-        broken = corrupt_pieces(spark, folder).select("_source_file", F.lit("broken").alias("reason"), "_corrupt_record")
-        cut = cut_off_files(read_pieces(spark, any_landed(folder)))
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], "_source_file string, reason string, _corrupt_record string")
-    return broken.unionByName(cut.select("_source_file", F.lit("cut off").alias("reason")), allowMissingColumns=True)
+    """What landed but cannot be read, each source by its own schema: just what the load leaves out."""
+    lost = spark.createDataFrame([], "_source_file string, reason string, _corrupt_record string")
+    for prefix, (schema, _) in SHAPES.items():
+        try:
+            lost = lost.unionByName(lost_pieces(read_pieces(spark, landed_files(folder, prefix)), schema))
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+    return lost
 
 
 def load_bronze(

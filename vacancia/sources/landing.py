@@ -22,7 +22,6 @@ def landing_files(
     folder: str,
     prefixes: list[str] | None = None,
     suffix: str = ".json",
-    min_bytes: int = V.MIN_FILE_BYTES,
 ) -> DataFrame:
     """Files of a folder that belong to a source, by lower-cased name prefix. No content is read."""
     prefixes = V.FILE_PREFIXES if prefixes is None else prefixes
@@ -34,9 +33,7 @@ def landing_files(
         F.col("modificationTime").alias("mtime"),
         source_of_name(name, prefixes).alias("source"),
     )
-    return files.filter(
-        F.lower("name").endswith(suffix) & (F.col("length") >= min_bytes) & F.col("source").isNotNull()
-    )
+    return files.filter(F.lower("name").endswith(suffix) & F.col("source").isNotNull())
 
 
 def source_of_name(name: Column, prefixes: list[str]) -> Column:
@@ -59,10 +56,14 @@ def _array_text(piece: Column) -> Column:
     return F.concat(F.when(opened, F.lit("")).otherwise(F.lit("[{")), piece, F.lit("}]"))
 
 
+def _is_blank(piece: Column) -> Column:
+    return F.regexp_replace(piece, r"[\s\x{FEFF}]+", "") == ""
+
+
 def parse_pieces(pieces: DataFrame, schema: T.StructType, text_col: str = "value") -> DataFrame:
     """Pieces of array files -> one row per record, unreadable pieces kept in `_corrupt_record`."""
     keep = [c for c in pieces.columns if c != text_col]
-    blank = F.regexp_replace(text_col, r"[\s\x{FEFF}]+", "") == ""
+    blank = _is_blank(F.col(text_col))
     parsed = F.from_json(_array_text(F.col(text_col)), T.ArrayType(schema))
     # Filtered after the explode: a filter on the parsed array would parse every piece twice.
     return (
@@ -95,7 +96,7 @@ def cut_off_files(pieces: DataFrame) -> DataFrame:
     """Files whose array is never closed: an upload that broke off."""
     one = F.json_array_length("value").isNotNull()  # of a file in one piece
     closed = F.col("value").rlike(r"(^|[\r\n])\][\s\x{FEFF}]*$")
-    blank = F.regexp_replace("value", r"[\s\x{FEFF}]+", "") == ""
+    blank = _is_blank(F.col("value"))
     files = pieces.filter(~blank).groupBy("_source_file").agg(F.bool_or(one | closed).alias("_whole"))
     return files.filter(~F.col("_whole")).select("_source_file")
 
@@ -108,11 +109,12 @@ def read_postings(spark: SparkSession, paths: str | list[str], schema: T.StructT
 def file_record_counts(spark: SparkSession, paths: str | list[str], name_contains: str = "") -> DataFrame:
     """Records, size and time of every stored file, oldest first; empty files count zero."""
     in_name = F.lower(F.substring_index("_source_file", "/", -1)).contains(name_contains.lower())
+    records = F.when(~_is_blank(F.col("value")), F.json_array_length(_array_text(F.col("value"))))
     counts = (
         read_pieces(spark, paths)
         .filter(in_name)
         .groupBy(*FILE_COLUMNS)
-        .agg(F.sum(F.coalesce(F.json_array_length(_array_text(F.col("value"))), F.lit(0))).alias("records"))
+        .agg(F.sum(F.coalesce(records, F.lit(0))).alias("records"))
     )
     return counts.orderBy("_file_mtime", "_source_file")
 

@@ -8,22 +8,18 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from vacancia.context import RunContext
-from vacancia.plans.bronze import SHAPES, any_case
+from vacancia.plans.bronze import SHAPES, any_case, lost_pieces
 from vacancia.plans.silver import silver_batch
 from vacancia.sources.landing import RECORD_SEPARATOR, parse_pieces
 from vacancia.sources.tables import append_once, upsert_table, with_ingest_metadata, write_batch
 
 
-def ingest_stream(
-    spark: SparkSession,
-    landing: str,
-    schema: T.StructType,
-    pattern: str,
-    archive: str | None = None,
-    max_files: int = 1000,
+def piece_stream(
+    spark: SparkSession, landing: str, pattern: str, archive: str | None = None, max_files: int = 1000
 ) -> DataFrame:
-    """Records of landed files whose name fits the pattern, as a stream, each with its file.
+    """Pieces of landed files whose name fits the pattern, as a stream, each with its file.
 
+    All pieces of a file arrive in one micro-batch.
     Which files were read is kept by the query's checkpoint. With `archive` Spark moves finished
     files there, one batch later; the folder must lie outside the landing folder.
     """
@@ -35,17 +31,36 @@ def ingest_stream(
     )
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    pieces = reader.load(landing).select("value", F.col("_metadata.file_path").alias("_source_file"))
-    return parse_pieces(pieces, schema)
+    return reader.load(landing).select("value", F.col("_metadata.file_path").alias("_source_file"))
+
+
+def ingest_stream(
+    spark: SparkSession,
+    landing: str,
+    schema: T.StructType,
+    pattern: str,
+    archive: str | None = None,
+    max_files: int = 1000,
+) -> DataFrame:
+    """Records of landed files; unreadable pieces are kept in `_corrupt_record`."""
+    return parse_pieces(piece_stream(spark, landing, pattern, archive, max_files), schema)
+
+
+def _files_of(prefix: str) -> str:
+    return f"{any_case(prefix)}*.[jJ][sS][oO][nN]"
 
 
 def bronze_stream(
     spark: SparkSession, landing: str, prefix: str, archive: str | None = None, pattern: str | None = None
 ) -> DataFrame:
-    """Records of one source in the Bronze columns."""
+    """Records of one source in the Bronze columns; the stream stops at a piece that cannot be read.
+
+    `load_landing` puts such pieces aside instead, and also reports files that were cut off.
+    """
     schema, mapping = SHAPES[prefix]
-    raw = ingest_stream(spark, landing, schema, pattern or f"{any_case(prefix)}*.[jJ][sS][oO][nN]", archive)
-    return mapping(raw.filter(F.col("_corrupt_record").isNull()))
+    raw = ingest_stream(spark, landing, schema, pattern or _files_of(prefix), archive)
+    stop = F.raise_error(F.concat(F.lit("landed file cannot be read: "), F.col("_source_file"))).cast("boolean")
+    return mapping(raw.filter(F.when(F.col("_corrupt_record").isNull(), F.lit(True)).otherwise(stop)))
 
 
 def _start(df: DataFrame, checkpoint: str, write) -> StreamingQuery:
@@ -73,6 +88,33 @@ def bronze_writer(rows: DataFrame, path: str, checkpoint: str, ctx: RunContext,
     return _start(rows, checkpoint, write)
 
 
+def load_landing(
+    spark: SparkSession,
+    landing: str,
+    prefix: str,
+    bronze: str,
+    quarantine: str,
+    checkpoint: str,
+    ctx: RunContext,
+    archive: str | None = None,
+    pattern: str | None = None,
+) -> StreamingQuery:
+    """New landed files of one source into Bronze, what cannot be read into the quarantine table.
+
+    The checkpoint knows the files of earlier runs: a run reads only what landed since. Each
+    micro-batch is one Bronze and one quarantine batch, and replaces itself when replayed.
+    """
+    schema, mapping = SHAPES[prefix]
+
+    def write(pieces: DataFrame, epoch: int) -> None:
+        micro = _micro(ctx, prefix, epoch)
+        write_batch(with_ingest_metadata(lost_pieces(pieces, schema), micro), quarantine, micro)
+        records = mapping(parse_pieces(pieces, schema).filter("_corrupt_record IS NULL"))
+        write_batch(with_ingest_metadata(records, micro), bronze, micro)
+
+    return _start(piece_stream(spark, landing, pattern or _files_of(prefix), archive), checkpoint, write)
+
+
 def upsert_stream(
     bronze: DataFrame,
     silver: str,
