@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from vacancia import fixed_values as V
 from vacancia import schemas as S
-from vacancia.context import RunContext
+from vacancia.context import RunContext, materialize
 from vacancia.functions.classify import employment_type, qualification, work_mode
 from vacancia.functions.dates import parse_ts
 from vacancia.functions.ids import job_id
@@ -103,12 +103,15 @@ def load_silver(
 
 
 def gate_silver(spark: SparkSession, silver: str, buckets: int = 64) -> DataFrame:
-    """Heal business-key duplicates, then run the checks and raise if one fails."""
+    """Heal business-key duplicates, then run the checks and raise if one fails.
+
+    The checks run once, and again only if something was healed.
+    """
     table = read_keyed(spark, silver, S.SILVER)
-    enforce(silver_checks(table).filter(F.col("check").isin("nonempty", "unique:job_id")))
+    checks = materialize(silver_checks(table))
+    enforce(checks.filter(F.col("check").isin("nonempty", "unique:job_id")))
     if not duplicate_groups(table, BUSINESS_KEYS).isEmpty():
         replace_table(spark, silver, heal_duplicates(table), ["job_id"], buckets)
-        table = read_keyed(spark, silver, S.SILVER)
-    checks = silver_checks(table)
+        checks = materialize(silver_checks(read_keyed(spark, silver, S.SILVER)))
     enforce(checks)
     return checks
