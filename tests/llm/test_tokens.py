@@ -52,6 +52,33 @@ def test_library_ids_are_those_of_the_library(texts):
     assert got == [library.encode(t, add_special_tokens=False).ids for t in plain]
 
 
+SPELLED = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>x", "don't  <|endoftext|>'s \n<|endoftext", "é \t<|endoftext|>\n\n", ""]
+
+
+def test_added_tokens_are_cut_out_as_the_library_does(texts):
+    library = Tokenizer.from_file(LIBRARY)
+    plain = [t or "" for _, t in texts] + SPELLED
+    cache = library_cache(LIBRARY, encode_special_tokens=False)
+    got = [np.frombuffer(b, "<u2").tolist() for b in encode_texts(cache, [t.encode() for t in plain])]
+    assert got == [library.encode(t, add_special_tokens=False).ids for t in plain]
+    assert got[len(texts)] == [64, 220, 50256, 275]
+
+
+def test_files_and_packing_hold_the_ids_of_added_tokens(spark):
+    library = Tokenizer.from_file(LIBRARY)
+    spelled = spark.createDataFrame(list(enumerate(SPELLED)), "doc_id long, text string")
+    plain = [library.encode(t, add_special_tokens=False).ids for t in SPELLED]
+
+    def crc(ids):
+        return zlib.crc32(np.array(ids, "<u4").tobytes())
+
+    files = token_files.read(spark, token_files.write(spelled, LIBRARY, end_id=2)).collect()
+    starts = np.cumsum([0] + [len(x) + 1 for x in plain]).tolist()
+    assert sorted(map(tuple, files)) == [(k, starts[k], len(x) + 1, crc([*x, 2])) for k, x in enumerate(plain)]
+    packed = packing.pack(spelled, LIBRARY, end_id=0).collect()
+    assert sorted((r.doc_id, r.length, r.ids_crc32) for r in packed) == [(k, len(x) + 1, crc([*x, 0])) for k, x in enumerate(plain)]
+
+
 def test_round_trip(docs, texts, reference):
     got = sorted((r.doc_id or 0, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in bpe.round_trip(docs, RANKS).collect())
     want = []

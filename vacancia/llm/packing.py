@@ -8,6 +8,7 @@ intervals of ranks, never pieces: the driver holds at most one counter per size
 that the steps cut, whatever the number of documents. Ranks are counted where the pieces lie and
 shifted by the counts of earlier tasks, so no task sees all pieces of a size.
 
+Ids are the library's at its default flags: a text that spells an added token holds that token's id.
 Null text counts as empty: the document is its end id alone. Rows that repeat a key are packed each.
 """
 
@@ -36,7 +37,7 @@ def cut(docs: DataFrame, tokenizer: str, end_id: int, size: int, key: str = "doc
     """
 
     def run(batches):
-        cache = library_cache(tokenizer)
+        cache = library_cache(tokenizer, encode_special_tokens=False)
         end, kind = end_id.to_bytes(cache.width, "little"), f"<u{cache.width}"
         seen: dict[int, int] = defaultdict(int)
         part = TaskContext.get().partitionId()

@@ -9,6 +9,7 @@ so a short document is read with three small reads. The dictionary lies beside t
 `dictionary`, whose digest every file repeats. A manifest table names the files that count: a task
 that is run twice leaves a second file, but only one manifest row.
 
+Ids are the library's at its default flags: a text that spells an added token holds that token's id.
 Null text is empty text and still gets the end id. Rows without key come last; rows that repeat a
 key follow each other.
 """
@@ -47,7 +48,7 @@ def train(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "tex
     """A dictionary from a bounded sample of id arrays; too small a sample serves as it is."""
 
     def run(batches):
-        cache = library_cache(tokenizer)
+        cache = library_cache(tokenizer, encode_special_tokens=False)
         for batch in batches:
             rows = [b[: SAMPLE_IDS * cache.width] for b in encode_texts(cache, batch.column("body").to_pylist())]
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], ["ids"])
@@ -76,7 +77,8 @@ def write(docs: DataFrame, tokenizer: str, end_id: int, key: str = "doc_id", tex
     digest = hashlib.sha256(dictionary).digest()
 
     def run(batches):
-        cache, target = library_cache(tokenizer), open_folder(folder)
+        cache = library_cache(tokenizer, encode_special_tokens=False)
+        target = open_folder(folder)
         end = end_id.to_bytes(cache.width, "little")
         shared = load_dictionary(dictionary)
         pack = zstandard.ZstdCompressor(level=1, dict_data=shared) if shared else zstandard.ZstdCompressor(level=1)

@@ -6,6 +6,7 @@ import base64
 import functools
 import heapq
 import os
+import re
 from collections.abc import Callable, Iterator
 
 from vacancia.llm.pretokens import split
@@ -17,9 +18,13 @@ CACHE_ENTRIES = 450_000
 class PieceCache(dict):
     """Packed ids of a pre-token, computed at first sight."""
 
-    def __init__(self, encode: Callable[[bytes], list[int]], width: int):
+    def __init__(self, encode: Callable[[bytes], list[int]], width: int, added: dict[bytes, int] | None = None):
+        """`added`: tokens that are cut out of a text before it is split into pre-tokens, and their ids."""
         super().__init__()
         self.encode, self.width = encode, width
+        self.added = {t: i.to_bytes(width, "little") for t, i in (added or {}).items()}
+        longest_first = sorted(map(re.escape, self.added), key=len, reverse=True)
+        self.cutter = re.compile(b"(" + b"|".join(longest_first) + b")") if longest_first else None
 
     def __missing__(self, piece: bytes) -> bytes:
         if len(self) >= CACHE_ENTRIES:
@@ -33,8 +38,17 @@ class PieceCache(dict):
 def encode_texts(cache: PieceCache, texts: list[bytes]) -> Iterator[bytes]:
     """Packed little-endian ids of each UTF-8 text."""
     look = cache.__getitem__
-    for pieces in split(texts):
-        yield b"".join(map(look, pieces))
+    if not cache.cutter:
+        for pieces in split(texts):
+            yield b"".join(map(look, pieces))
+        return
+    runs = [cache.cutter.split(text) for text in texts]  # [text, added token, text, ..., text]
+    pieces = split([part for run in runs for part in run[::2]])
+    for run in runs:
+        ids = [b"".join(map(look, next(pieces)))]
+        for token in run[1::2]:
+            ids += cache.added[token], b"".join(map(look, next(pieces)))
+        yield b"".join(ids)
 
 
 def byte_symbols() -> dict[int, str]:
@@ -45,17 +59,25 @@ def byte_symbols() -> dict[int, str]:
 
 
 @functools.cache
-def library_cache(path: str) -> PieceCache:
+def library_cache(path: str, encode_special_tokens: bool = True) -> PieceCache:
     """Ids by the tokenizers library: its byte-level BPE model, fed one pre-token at a time.
 
     The model never merges across pre-tokens, so the ids of a text are those of its pre-tokens.
-    Texts that spell a special token are ordinary text.
+    The library first cuts texts at the added tokens of the file, each of which is one id.
+    `encode_special_tokens` is the library's flag of that name, there off by default: if it is set,
+    a text that spells a special token is ordinary text.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     model, mapped = tokenizer.model, byte_symbols()
+    added = {}
+    for number, token in tokenizer.get_added_tokens_decoder().items():
+        if token.single_word or token.lstrip or token.rstrip or token.normalized:
+            raise ValueError(f"added token with matching rules of its own: {token.content}")
+        if not (encode_special_tokens and token.special):
+            added[token.content.encode()] = number
     lead = mapped[32]
 
     def encode(piece: bytes) -> list[int]:
@@ -66,7 +88,7 @@ def library_cache(path: str) -> PieceCache:
             text = piece.decode("latin-1").translate(mapped)
         return [t.id for t in model.tokenize(text)]
 
-    return PieceCache(encode, 2 if tokenizer.get_vocab_size() <= 1 << 16 else 4)
+    return PieceCache(encode, 2 if tokenizer.get_vocab_size() <= 1 << 16 else 4, added)
 
 
 @functools.cache
