@@ -231,9 +231,14 @@ def nested_raw(raw: DataFrame) -> DataFrame:
     def named(col):
         return F.struct(col.alias("name"))
 
-    keywords = F.when(F.col("k") % 3 == 0, F.array(named(F.lit("sql")), named(null), named(F.col("raw_job_id")))).when(
-        F.col("k") % 3 == 1, F.array(named(F.lit("")), F.lit(None).cast("struct<name:string>"), named(F.col("raw_job_id")))
-    )
+    def listed(*items):
+        """A JSON list: columns as objects with a name, texts as they are."""
+        shown = [F.lit(x) if isinstance(x, str) else F.to_json(named(x)) for x in items]
+        return F.concat(F.lit("["), F.concat_ws(",", *shown), F.lit("]"))
+
+    keywords = F.when(F.col("k") % 6 == 0, listed(F.lit("sql"), null, F.col("raw_job_id"))).when(
+        F.col("k") % 6 == 3, listed('"plain"', F.lit("sql"), "7", F.col("raw_job_id"), '["x"]')
+    ).when(F.col("k") % 3 == 1, listed(F.lit(""), "null", F.col("raw_job_id")))
     low = F.when(F.col("k") % 4 < 2, F.lit("1"))
     high = F.when((F.col("k") % 4 == 0) | (F.col("k") % 4 == 2), F.lit("3"))
     currency = F.when(F.col("k") % 4 == 0, F.struct(F.lit("USD").alias("code")))
@@ -251,8 +256,10 @@ def nested_raw(raw: DataFrame) -> DataFrame:
             F.lit("shown").alias("displayedName"),
             F.struct(F.struct(english.alias("en")).alias("displayedName")).alias("translations"),
         ).alias("workplaceArrangement"),
-        F.when(F.col("k") % 5 > 0, F.array(named(F.col("raw_employment_type"))))
-        .otherwise(F.array().cast("array<struct<name:string>>"))
+        F.when(F.col("k") % 5 > 1, listed(F.col("raw_employment_type")))
+        .when(F.col("k") % 5 == 1, listed(F.col("raw_employment_type"), '"plain"'))
+        .when(F.col("k") % 10 == 0, "[]")
+        .otherwise(listed('"plain"', F.col("raw_employment_type")))
         .alias("workTypes"),
         F.struct(low.alias("min"), high.alias("max")).alias("workExperienceYears"),
         F.struct(named(F.col("raw_qualification")).alias("educationLevel")).alias("candidatePreferences"),

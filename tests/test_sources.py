@@ -206,3 +206,22 @@ def test_unreadable_landing_is_not_lost(spark, tmp_path):
     lost = {(r["_source_file"].split("/")[-1], r["reason"]) for r in spark.read.parquet(kept).collect()}
     assert {("sabbar_2.json", "cut off"), ("sabbar_3.json", "broken")} <= lost
     assert not {n for n, _ in lost} & {"sabbar_1.json", "sabbar_4.json"}
+
+
+def test_mixed_lists_keep_their_objects(spark, tmp_path):
+    """As in the reference, elements that are no objects are passed over."""
+    mixed = {
+        "a": (["x", {"name": "b"}, 7, None, ["y"], {}, {"name": ""}, {"name": "c \"d\""}], [{"name": "Full"}, "x"], 'b; c "d"', "Full"),
+        "b": (["x", "y"], ["x", {"name": "Full"}], None, None),
+        "c": ([{"name": "b"}], [{"name": "Full"}], "b", "Full"),
+        "d": (None, None, None, None),
+        "e": ({"name": "b"}, "Full", None, None),
+        "f": (['{"name": "b"}', {"name": "c"}], [], "c", None),
+    }
+    records = [nested(k, keywords=words, workTypes=types) for k, (words, types, _, _) in mixed.items()]
+    for indent in (None, 2):
+        folder = tmp_path / f"landing{indent}"
+        folder.mkdir()
+        (folder / "wuzzuf_1.json").write_text(json.dumps(records, indent=indent), encoding="utf8")
+        got = {r["raw_job_id"]: (r["raw_skills"], r["raw_employment_type"]) for r in landed_postings(spark, str(folder)).collect()}
+        assert got == {k: (skills, kind) for k, (_, _, skills, kind) in mixed.items()}

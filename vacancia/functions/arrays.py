@@ -41,6 +41,18 @@ def join_names(items: Column, separator: str = "; ") -> Column:
     return F.nullif(F.array_join(names, separator), F.lit(""))
 
 
+def named_objects(text: Column) -> Column:
+    """The elements of a JSON list as structs of their `name`; null if the text is no list.
+
+    The JSON functions drop a whole list for one element of another kind, so a mixed list is read as
+    VARIANT: elements that are no objects have a null name there.
+    """
+    listed = F.when(text.startswith("["), text)
+    alike = F.from_json(listed, "array<struct<name:string>>")
+    mixed = F.try_variant_get(F.try_parse_json(listed), "$", "array<variant>")
+    return F.coalesce(alike, F.transform(mixed, lambda x: F.struct(F.try_variant_get(x, "$.name", "string").alias("name"))))
+
+
 def split_skills(col: Column, sentinel: str) -> Column:
     """Distinct skill names of a `;`- or `,`-separated text, blanks and the sentinel left out."""
     names = F.transform(F.split(col, "[;,]"), lambda x: F.regexp_replace(x, r"^\s+|\s+$", ""))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vacancia import fixed_values as V
-from vacancia.functions.arrays import join_names
+from vacancia.functions.arrays import join_names, named_objects
 from vacancia.functions.text import city_from_location, experience_text, first_truthy, salary_text
 from vacancia.schemas import BRONZE_COLUMNS
 
@@ -35,10 +35,10 @@ def unify_nested(df: DataFrame, source: str = V.SOURCE_NESTED) -> DataFrame:
         country=F.lit(V.COUNTRY),
         city=job["location"]["city"]["name"],
         work_mode=first_truthy(place["translations"]["displayedName"]["en"], place["displayedName"]),
-        employment_type=F.try_element_at(job["workTypes"], F.lit(1))["name"],
+        employment_type=F.try_element_at(named_objects(job["workTypes"]), F.lit(1))["name"],
         experience=experience_text(years["min"], years["max"]),
         qualification=job["candidatePreferences"]["educationLevel"]["name"],
-        skills=join_names(job["keywords"]),
+        skills=join_names(named_objects(job["keywords"])),
         salary=salary_text(salary["min"], salary["max"], salary["currency"]["code"]),
         posted_date=job["postedAt"],
         # The writer names the stamp `collected_at`, older files `scraped_at`.

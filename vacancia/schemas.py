@@ -45,18 +45,18 @@ SILVER_COLUMNS = (
 SILVER = _strings(" ".join(SILVER_COLUMNS))
 
 # The nested portal payload: only the fields that are read. Numbers are declared string so that
-# their text is kept.
+# their text is kept. So are lists whose elements may be of several kinds.
 RAW_NESTED = _struct(
     job_id=_S, job_url=_S, wuzzuf_job_id=_S, collected_at=_S, scraped_at=_S, batch_id=_S,
     job_attributes=_struct(
         title=_S, description=_S, slug=_S, postedAt=_S,
         salary=_struct(min=_S, max=_S, currency=_struct(code=_S)),
-        keywords=T.ArrayType(_struct(name=_S)),
+        keywords=_S,
         location=_struct(city=_struct(name=_S)),
         workplaceArrangement=_struct(
             displayedName=_S, translations=_struct(displayedName=_struct(en=_S))
         ),
-        workTypes=T.ArrayType(_struct(name=_S)),
+        workTypes=_S,
         workExperienceYears=_struct(min=_S, max=_S),
         candidatePreferences=_struct(educationLevel=_struct(name=_S)),
     ),
