@@ -20,7 +20,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents without the boilerplate lines of their source."""
-    return line_dedup.dedup_lines(docs, host="source", length="n_chars")
+    return line_dedup.dedup_lines(docs, host="source", length="n_chars", by_length=True)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

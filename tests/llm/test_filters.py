@@ -36,6 +36,20 @@ def test_line_on_exactly_the_ratio_stays(spark):
     assert line_dedup.boilerplate(docs.union(docs.limit(1)), "source", "text").count() == 1
 
 
+def test_lines_by_length(spark):
+    """Long lines go from a small share of the pages on, footers of small hosts too; copies keep their text."""
+    long, licence, short = "a long passage " * 7, "Licensed under CC BY-NC 4.0.", "And."
+    on = {long: 4, "an other long passage " * 5: 2, licence: 6, short: 13, "The.": 12}
+    rows = [(i, "h", "\n".join([f"own {i}", *(x for x, n in on.items() if i < n)])) for i in range(500)]
+    rows += [(1000 + i, "small", f"page {i}\nfoot") for i in range(3)] + [(1010 + i, "copies", "same\ntext") for i in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    out = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs, by_length=True).collect()}
+    assert out[0] == "own 0\n" + "an other long passage " * 5 + "\nThe."  # on too few pages for their length
+    assert out[5] == "own 5\nThe." and out[12] == "own 12"
+    assert [out[1000 + i] for i in range(3)] == ["page 0", "page 1", "page 2"]
+    assert all(out[1010 + i] == "same\ntext" for i in range(9))
+
+
 def test_archive(spark):
     long = "x" * 120
     rows = [(3, "u3", long), (1, "u1", long), (1, "u1", long), (None, "u", long), (5, None, "short"), (6, "a\r\nb", "short"), (7, "u", None), (8, "u", "é" * 60)]

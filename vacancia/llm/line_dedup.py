@@ -6,6 +6,12 @@ Lines are counted under their SHA-256, combined on the map side, so a host or li
 all rows does not meet in one task. A host has at most (mean lines of a page / ratio) such lines,
 so its list is bounded whatever its size.
 
+With `by_length` the share falls with the line's length, as a long line hardly comes twice by chance:
+SHORT_SHARE of the pages up to SHORT_CHARS characters, less in proportion beyond. SPARE pages on top of
+that keep a few copies from losing what they share, and a line that stands on every page of a host of
+two or more goes whatever the host's size. Pages of equal text count once, else copies would be emptied.
+A host then has at most (50 times the mean lines + 5 times the mean characters of a page) such lines.
+
 Null text and null host: the row stays as it is (no site to compare with), and rows without host
 count for no site. Blank lines are never boilerplate. A text of boilerplate alone becomes empty.
 Rows that repeat are pages of their own. All other columns pass through, whatever their names.
@@ -20,6 +26,8 @@ from vacancia.llm.common import BROADCAST_BYTES, new_folder, stored
 
 #: A line on more than this share of a host's pages, and on so many pages at least, is boilerplate.
 RATIO, MIN_PAGES = 0.1, 5
+#: By length: a line of so many characters goes above this share of a host's pages and so many pages on top.
+SHORT_SHARE, SHORT_CHARS, SPARE = 0.02, 10, 2
 
 
 def lines_of(text: Column) -> Column:
@@ -30,12 +38,21 @@ def line_key(line: Column) -> Column:
     return F.unhex(F.sha2(line, 256))
 
 
-def boilerplate(docs: DataFrame, host: str, text: str, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
-    """(host, key) of every boilerplate line."""
+def boilerplate(docs: DataFrame, host: str, text: str, ratio: float = RATIO, min_pages: int = MIN_PAGES, by_length: bool = False) -> DataFrame:
+    """(host, key) of every boilerplate line; `by_length` takes the place of `ratio` and `min_pages`."""
     pages = docs.select(F.col(host).alias("host"), F.col(text).alias("text")).filter("host IS NOT NULL")
+    if by_length:
+        pages = pages.distinct()
     totals = pages.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
     lines = pages.select("host", F.explode(F.array_distinct(lines_of(F.col("text")))).alias("line"))
-    lines = lines.filter(F.trim("line") != "").select("host", line_key(F.col("line")).alias("key"))
+    lines = lines.filter(F.trim("line") != "")
+    if by_length:
+        lines = lines.select("host", line_key(F.col("line")).alias("key"), F.char_length("line").alias("chars"))
+        counts = lines.groupBy("host", "key", "chars").agg(F.count(F.lit(1)).alias("with_line")).filter("with_line >= 2")
+        share = F.lit(SHORT_SHARE * SHORT_CHARS) / F.greatest("chars", F.lit(SHORT_CHARS))
+        often = F.col("with_line") > share * F.col("pages") + SPARE
+        return counts.join(totals, "host").filter(often | (F.col("with_line") == F.col("pages"))).select("host", "key")
+    lines = lines.select("host", line_key(F.col("line")).alias("key"))
     counts = lines.groupBy("host", "key").agg(F.count(F.lit(1)).alias("with_line")).filter(F.col("with_line") >= min_pages)
     return counts.join(totals, "host").filter(F.col("with_line") > F.lit(ratio) * F.col("pages")).select("host", "key")
 
@@ -48,13 +65,14 @@ def dedup_lines(
     min_pages: int = MIN_PAGES,
     length: str | None = None,
     dropped: str | None = None,
+    by_length: bool = False,
 ) -> DataFrame:
     """Every row with its boilerplate lines taken out of `text`.
 
     `length` names a column to be set to the new text's code points; `dropped` one that receives the
     number of lines taken out.
     """
-    found = stored(boilerplate(docs, host, text, ratio, min_pages), new_folder(docs.sparkSession, "boilerplate"))
+    found = stored(boilerplate(docs, host, text, ratio, min_pages, by_length), new_folder(docs.sparkSession, "boilerplate"))
     lists = found.groupBy("host").agg(F.collect_list("key").alias("keys"))
     if found.count() * 128 <= BROADCAST_BYTES:
         lists = F.broadcast(lists)
