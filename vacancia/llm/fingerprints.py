@@ -2,8 +2,8 @@
 
 Wherever an anchor (a common word, or the start of the text) stands, the next content words form a
 signature; chains are cut at the end of the text. The sorted set of signatures is the fingerprint,
-written as text. Likeness is the Jaccard similarity of two sets: their lengths bound it, so pairs of
-too different lengths are never compared.
+written as text. Likeness is the Jaccard similarity of two sets: their lengths bound it, so under a
+threshold sets of too different lengths are not intersected. Nothing here searches for pairs.
 
 Texts without words have a fingerprint of their bytes; empty and null texts have the empty one, which
 is like itself only. Rows that repeat a key follow each other in the order of their texts.
