@@ -72,6 +72,13 @@ def test_keep_one(docs):
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 5, 6, 7, 8, 10, 11, 12, 13]
 
 
+def test_keep_one_judges_texts_of_a_repeated_key_apart(spark):
+    base, other = (" ".join(f"{c}{i}" for i in range(40)) for c in "ab")
+    rows = [(1, base), (2, base), (2, other), (2, other), (2, None), (3, other)]
+    kept = ngram_join.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, kept), key=repr) == sorted([(1, base), (2, other), (2, None)], key=repr)
+
+
 def test_trie_equals_pairwise():
     rng = np.random.default_rng(3)
     sets = [np.unique(np.concatenate([rng.choice(60, 40), rng.choice(2000, k)])) for k in (0, 1, 5, 20, 30) * 8]

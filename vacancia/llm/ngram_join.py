@@ -365,6 +365,11 @@ def _links(rows: list[tuple]) -> pa.RecordBatch:
 
 def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id and n_links (other rows linked) of every row."""
+    return _similar(docs, key, text).drop("name")
+
+
+def _similar(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """The same with the name of the row's set, null without words."""
     spark = docs.sparkSession
     folder = new_folder(spark, "ngram-join")
     docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -392,23 +397,44 @@ def similar_documents(docs: DataFrame, key: str = "doc_id", text: str = "text")
     least = sets.groupBy("class").agg(F.min("least").alias("component_id"))
     sets = sets.join(least, "class").select("name", "component_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     known = rows.filter("n > 0").join(stored(sets, f"{folder}/set-classes"), "name")
-    known = known.select("doc_id", F.col("n").alias("n_shingles"), "component_id", "n_links")
-    empty = rows.filter("n = 0").select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
+    known = known.select("doc_id", F.col("n").alias("n_shingles"), "component_id", "n_links", "name")
+    empty = rows.filter("n = 0").select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links"), F.lit(None).cast("long").alias("name"))
     return known.unionByName(empty)
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of `docs` without those whose class has a row of smaller key.
 
-    Rows without words or key stay. Rows that repeat key and text are one document: one stays.
+    Rows without words or key stay. Rows that repeat key and text are one document: one stays. Rows
+    that repeat a key with other texts are judged each by the class of its own text.
     """
-    found = stored(similar_documents(docs, key, text), new_folder(docs.sparkSession, "similar"))
-    dropped = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("dropped")).distinct()
-    dropped = small(stored(dropped, new_folder(docs.sparkSession, "dropped")), 16)
-    kept = docs.join(dropped, F.col(key) == F.col("dropped"), "left_anti")
+    found = stored(_similar(docs, key, text), new_folder(docs.sparkSession, "similar"))
     twice = found.groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("dropped"))
-    if twice.isEmpty():
-        return kept
-    twice = small(stored(twice, new_folder(docs.sparkSession, "repeated")), 16)
     same = F.col(key) == F.col("dropped")
-    return kept.join(twice, same, "left_anti").unionByName(kept.join(twice, same, "left_semi").dropDuplicates([key, text]))
+    if not twice.isEmpty():
+        twice = small(stored(twice, new_folder(docs.sparkSession, "repeated")), 16)
+        repeated = _judged(docs.join(twice, same, "left_semi"), found, key, text)
+        docs = docs.join(twice, same, "left_anti")
+    else:
+        repeated = None
+    dropped = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("dropped")).distinct()
+    dropped = small(stored(dropped, new_folder(docs.sparkSession, "dropped")), 16)
+    kept = docs.join(dropped, same, "left_anti")
+    return kept.unionByName(repeated) if repeated else kept
+
+
+def _judged(rows: DataFrame, found: DataFrame, key: str, text: str) -> DataFrame:
+    """Of rows whose key is repeated, one of each text whose set's class has no smaller key."""
+
+    def name(batches):
+        for batch in batches:
+            sets = gram_sets([(t or "").encode() for t in batch.column("of_text").to_pylist()])
+            names = pa.array([set_name(s) for s in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, names], ["of_key", "of_text", "name"])
+
+    rows = rows.dropDuplicates([key, text])
+    keyed = rows.select(F.col(key).cast("long").alias("of_key"), F.col(text).alias("of_text"))
+    named = keyed.mapInArrow(name, "of_key long, of_text string, name long")
+    worse = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("of_key"), "name").distinct()
+    worse = named.join(worse, ["of_key", "name"], "left_semi")
+    return rows.join(worse, (F.col(key) == F.col("of_key")) & F.col(text).eqNullSafe(F.col("of_text")), "left_anti")
