@@ -40,7 +40,8 @@ STAGES = [
     ("best_fit_packing", best_fit_packing),
 ]
 
-#: SQL expresses neither the fitted model nor the tokenizer; tests hold the stages against brute force.
+#: SQL expresses neither the fitted model nor the tokenizer; tests hold the similarity
+#: and packing operators against brute force, quality against held-out labels, and the chain against its stages.
 ORACLE_SQL = None
 
 
