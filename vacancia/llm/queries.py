@@ -184,3 +184,24 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from vacancia.llm.ngram_join import similar_documents
 
     return similar_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vacancia.llm.spelling import spelling_groups
+
+    return spelling_groups(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vacancia.llm.simhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vacancia.llm.whitening import whiten
+
+    return whiten(table(spark, sf_dir, "embeddings"))
