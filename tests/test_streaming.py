@@ -11,7 +11,7 @@ from vacancia import fixed_values as V
 from vacancia import schemas as S
 from vacancia.context import RunContext
 from vacancia.plans.bronze import load_bronze
-from vacancia.plans.silver import load_silver
+from vacancia.plans.silver import load_pending, load_silver
 from vacancia.sources import tables as B
 from vacancia.streaming import ingest as K
 
@@ -106,3 +106,48 @@ def test_stream_dedup_drops_repeats_and_late_rows(spark, tmp_path):
     assert run([("a", "2026-01-01 00:00:00"), ("a", "2026-01-01 00:01:00"), ("b", "2026-01-01 00:02:00")]) == ["a", "b"]
     assert run([("a", "2026-01-01 00:10:00"), ("c", "2026-01-02 00:00:00")]) == ["a", "b", "c"]
     assert run([("late", "2026-01-01 00:00:00"), ("d", "2026-01-02 00:30:00")]) == ["a", "b", "c", "d"]
+
+
+def test_landed_batches_reach_silver_once(spark, tmp_path, monkeypatch):
+    """Files in two layouts land, the run breaks off and is replayed on the next day, then both days load."""
+    d = {n: str(tmp_path / n) for n in ("landing", "bronze", "kept", "state", "silver", "rejected")}
+    prefix, days = V.FILE_PREFIXES[2], [RunContext.create(day, "run") for day in ("2026-09-21", "2026-09-22")]
+
+    def land(ctx):
+        K.load_landing(spark, d["landing"], prefix, d["bronze"], d["kept"], d["state"], ctx).awaitTermination()
+        table = B.read_table(spark, d["bronze"], S.BRONZE)
+        return sorted((r["raw_job_id"], str(r["_load_date"])) for r in table.select("raw_job_id", "_load_date").collect())
+
+    put(d["landing"], "tanqeeb_1.json", [posting(1), posting(2), posting(3, title="")])
+    with open(d["landing"] + "/tanqeeb_[2].json", "w") as f:
+        json.dump([posting(4)], f)
+    whole, calls = K.write_batch, []
+
+    def breaks_off(rows, path, ctx):
+        whole(rows, path, ctx)
+        if path == d["bronze"]:
+            calls.append(ctx)
+            raise RuntimeError("stopped after the write")
+
+    monkeypatch.setattr(K, "write_batch", breaks_off)
+    with pytest.raises(StreamingQueryException):
+        land(days[0])
+    monkeypatch.setattr(K, "write_batch", whole)
+    assert len(calls) == 1
+    first = [(str(i), "2026-09-21") for i in (1, 2, 3, 4)]
+    assert land(days[1]) == first  # the replay keeps the day of the first attempt
+    put(d["landing"], "tanqeeb_5.json", [posting(5)])
+    assert land(days[1]) == [*first, ("5", "2026-09-22")]
+
+    def load():
+        done = load_pending(spark, d["bronze"], d["silver"], d["rejected"], days[1], buckets=4)
+        silver = B.read_keyed(spark, d["silver"], S.SILVER)
+        rejects = B.read_table(spark, d["rejected"], S.REJECTED)
+        return done, sorted(r["job_url"] for r in silver.collect()), [r["reject_reasons"] for r in rejects.collect()]
+
+    urls = [f"https://h/{i}" for i in (1, 2, 4, 5)]
+    assert load() == ([f"{prefix}.0", f"{prefix}.1"], urls, [["title"]])
+    assert load() == ([], urls, [["title"]])
+    put(d["landing"], "tanqeeb_6.json", [posting(6)])
+    land(days[1])
+    assert load() == ([f"{prefix}.2"], [*urls, "https://h/6"], [["title"]])

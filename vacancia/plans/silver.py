@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,8 +26,12 @@ from vacancia.operators.validate import require_rows, split_valid
 from vacancia.sources.tables import (
     append_once,
     read_batch,
+    read_batches,
     read_keyed,
     read_table,
+    register_batch,
+    registered_batches,
+    replace_batches,
     replace_table,
     upsert_table,
 )
@@ -102,6 +108,27 @@ def load_silver(
     upsert_table(spark, silver, rows, ["job_id"], buckets)
 
 
+def load_pending(
+    spark: SparkSession, bronze: str, silver: str, rejected: str, ctx: RunContext, buckets: int = 64
+) -> list[str]:
+    """Every registered Bronze batch that is not in Silver yet, in one upsert; their ids are given out.
+
+    Bronze is what `load_landing` wrote. Batches count as loaded once their rows are in Silver; a run
+    that breaks off before that is repeated by the next one. Rejects stay in the batch they came with.
+    """
+    loaded = registered_batches(spark, silver).select("batch_id")
+    pending = registered_batches(spark, bronze).join(loaded, "batch_id", "left_anti")
+    batches = sorted((r["load_date"], r["batch_id"]) for r in pending.collect())  # batches, not rows
+    if batches:
+        rows = read_batches(read_table(spark, bronze, S.BRONZE), batches)
+        good, rejects = silver_batch(rows, ctx.now)
+        replace_batches(rejects, rejected)
+        upsert_table(spark, silver, good, ["job_id"], buckets)
+        for _, batch in batches:
+            register_batch(spark, silver, replace(ctx, batch_id=batch))
+    return [batch for _, batch in batches]
+
+
 def gate_silver(spark: SparkSession, silver: str, buckets: int = 64) -> DataFrame:
     """Heal business-key duplicates, then run the checks and raise if one fails.
 

@@ -8,13 +8,13 @@ from pyspark.sql import types as T
 
 from vacancia import fixed_values as V
 from vacancia.operators.dedup import latest_by
+from vacancia.sources.json_split import FILE_COLUMNS, fragments, split_records
 
-# Landing files hold one JSON array written with an indent of two, so the text between two records
+# Most landing files hold one JSON array written with an indent of two, so the text between two records
 # is always the same. Reading with that text as line separator lets Spark split one large file over
-# many tasks. A file in any other layout has no separator in it and arrives as one piece.
+# many tasks without looking at it twice. Files that begin otherwise go to `json_split`.
 RECORD_SEPARATOR = "\n  },\n  {"
-
-FILE_COLUMNS = ["_source_file", "_file_size", "_file_mtime"]
+INDENTED = r"^\x{FEFF}?\[\n  \{\n"
 
 
 def landing_files(
@@ -56,8 +56,9 @@ def _array_text(piece: Column) -> Column:
     return F.concat(F.when(opened, F.lit("")).otherwise(F.lit("[{")), piece, F.lit("}]"))
 
 
-def _is_blank(piece: Column) -> Column:
-    return F.regexp_replace(piece, r"[\s\x{FEFF}]+", "") == ""
+def _is_blank(piece: Column, closed: bool = True) -> Column:
+    """White space alone, or with the bracket that closes the array."""
+    return F.regexp_replace(piece, r"[\s\x{FEFF}]+", "").isin("", *["]"] * closed)
 
 
 def parse_pieces(pieces: DataFrame, schema: T.StructType, text_col: str = "value") -> DataFrame:
@@ -79,7 +80,29 @@ def parse_pieces(pieces: DataFrame, schema: T.StructType, text_col: str = "value
     )
 
 
+def other_layouts(spark: SparkSession, paths: str | list[str]) -> list[str]:
+    """Files that do not begin like an array indented by two; seen from their first characters."""
+    first = fragments(spark, paths).filter("_block = 0").select(
+        "_source_file", F.substring("value", 1, 64).cast("string").alias("value"), F.monotonically_increasing_id().alias("_row")
+    )
+    heads = first.groupBy("_source_file").agg(F.min_by("value", "_row").alias("head"))
+    return [r["_source_file"] for r in heads.filter(~F.col("head").rlike(INDENTED)).collect()]
+
+
 def read_pieces(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Pieces of array files, a record or so each, with their file; every file is read by many tasks.
+
+    The files' layouts are looked at when this is called.
+    """
+    others = other_layouts(spark, paths)
+    pieces = _separated(spark, paths)
+    if not others:
+        return pieces
+    split = split_records(spark, paths, others)
+    return pieces.filter(~F.col("_source_file").isin(others)).unionByName(split)
+
+
+def _separated(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return (
         spark.read.option("lineSep", RECORD_SEPARATOR)
         .text(paths)
@@ -94,10 +117,9 @@ def read_pieces(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 def cut_off_files(pieces: DataFrame) -> DataFrame:
     """Files whose array is never closed: an upload that broke off."""
-    one = F.json_array_length("value").isNotNull()  # of a file in one piece
     closed = F.col("value").rlike(r"(^|[\r\n])\][\s\x{FEFF}]*$")
-    blank = _is_blank(F.col("value"))
-    files = pieces.filter(~blank).groupBy("_source_file").agg(F.bool_or(one | closed).alias("_whole"))
+    blank = _is_blank(F.col("value"), closed=False)
+    files = pieces.filter(~blank).groupBy("_source_file").agg(F.bool_or(closed).alias("_whole"))
     return files.filter(~F.col("_whole")).select("_source_file")
 
 

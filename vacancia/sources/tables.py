@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +35,51 @@ def write_batch(df: DataFrame, path: str, ctx: RunContext) -> None:
 append_once = write_batch
 
 
+# Batches of a table and the load date each was first written under.
+BATCHES = T.StructType([T.StructField("load_date", T.StringType()), T.StructField("batch_id", T.StringType())])
+
+
+def register_batch(spark: SparkSession, path: str, ctx: RunContext) -> RunContext:
+    """The context to write a batch of the table under: its load date is the one of the first attempt.
+
+    The register lies beside the table, one record per batch. A batch that is written again on a later
+    day, because its first run broke off, so replaces what that run left. One writer per batch.
+    """
+    place = f"{path.rstrip('/')}__batches/{ctx.batch_id}"
+    held = read_table(spark, place, BATCHES).first()
+    if held is None:
+        row = spark.createDataFrame([(ctx.load_date, ctx.batch_id)], BATCHES)
+        row.coalesce(1).write.mode("overwrite").parquet(place)
+        return ctx
+    return replace(ctx, load_date=held["load_date"])
+
+
+def registered_batches(spark: SparkSession, path: str) -> DataFrame:
+    """BATCHES of a table."""
+    try:
+        return spark.read.schema(BATCHES).option("recursiveFileLookup", "true").parquet(f"{path.rstrip('/')}__batches")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], BATCHES)
+
+
+def read_batches(df: DataFrame, batches: list[tuple[str, str]]) -> DataFrame:
+    """Rows of several batches (load date, id); on a table of batches only their folders are read."""
+    days, ids = {d for d, _ in batches}, {i for _, i in batches}
+    pairs = F.struct(F.col("_load_date").cast("string"), "_batch_id").isin(
+        *[F.struct(F.lit(d), F.lit(i)) for d, i in batches]
+    ) if batches else F.lit(False)
+    folders = F.col("_load_date").isin(*[F.lit(d).cast("date") for d in days]) & F.col("_batch_id").isin(*ids)
+    return df.filter(folders).filter(pairs)
+
+
+def replace_batches(df: DataFrame, path: str) -> None:
+    """Write rows that carry their batch; the batches among them replace what the table holds of them."""
+    writer = df.hint("rebalance", "_load_date", "_batch_id").write.mode("overwrite").partitionBy("_load_date", "_batch_id")
+    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A table under its schema; an absent one reads as empty."""
     try:
