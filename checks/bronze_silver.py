@@ -113,6 +113,31 @@ def _(spark, sf_dir):
     return rows.select(*FLAT_B_OF_RAW, F.col("_corrupt_record").isNotNull().cast("int").alias("corrupt"))
 
 
+def one_line_files(raw: DataFrame, folder: str, between: str, per_file: int = 2000) -> None:
+    """The same records as arrays of another layout; every 50th key has lost a quote."""
+    record = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
+    record = F.when(F.col("k") % 50 == 7, F.replace(record, F.lit('"url":"'), F.lit('"url":'))).otherwise(record)
+    packed = raw.select(F.floor(F.col("k") / per_file).alias("file"), record.alias("_json")).groupBy("file")
+    packed = packed.agg(F.array_join(F.sort_array(F.collect_list("_json")), between).alias("_all"))
+    lines = packed.select(F.concat(F.lit("["), "_all", F.lit("]")).alias("value"))
+    lines.write.mode("append").option("maxRecordsPerFile", 1).text(folder)
+
+
+@check(
+    "a3_any_layout",
+    f"{Q.WITH_RAW} SELECT {', '.join(f'CASE WHEN k % 50 <> 7 THEN {v} END AS {k}' for k, v in FLAT_B_OF_RAW.items())}, "
+    "CAST(k % 50 = 7 AS INT) AS corrupt FROM raw",
+)
+def _(spark, sf_dir):
+    """Arrays on one line, and with carriage returns; each record that lost a quote costs itself alone."""
+    folder = scratch(spark)
+    raw = raw_postings(spark, sf_dir).select("k", *[F.col(v).alias(n) for n, v in FLAT_B_OF_RAW.items()])
+    one_line_files(raw.filter("k % 3 = 0"), folder, ",")
+    one_line_files(raw.filter("k % 3 > 0"), folder, ",\r\n\t")
+    rows = L.read_postings(spark, folder, S.RAW_FLAT_B)
+    return rows.select(*FLAT_B_OF_RAW, F.col("_corrupt_record").isNotNull().cast("int").alias("corrupt"))
+
+
 @check(
     "a5_file_record_counts",
     "SELECT records, count(*) AS files FROM (SELECT count(*) AS records FROM orders GROUP BY o_orderkey // 1000) GROUP BY records",

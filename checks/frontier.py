@@ -178,6 +178,23 @@ def _(spark, sf_dir):
     return R.truncate_after_known_pages(stats(spark, sf_dir), "source", "page", n=2, max_pages=60, block=8)
 
 
+@check(
+    "b8_missing_first_page",
+    """WITH stats AS (SELECT 'u' || CAST(event_id % 50 AS STRING) AS source, event_id // 50 AS page FROM events
+         WHERE event_type <> 'purchase'),
+    held AS (SELECT source, page, page - row_number() OVER (PARTITION BY source ORDER BY page) AS run FROM stats)
+    SELECT source, count(*) AS pages, max(page) AS last_page FROM held WHERE run = -1 GROUP BY source""",
+)
+def _(spark, sf_dir):
+    """Pages of some kind failed to load: a run ends before the first of them, be it the very first page."""
+    pages = table(spark, sf_dir, "events").filter("event_type <> 'purchase'").select(
+        F.concat(F.lit("u"), (F.col("event_id") % 50).cast("string")).alias("source"),
+        F.floor(F.col("event_id") / 50).alias("page"), F.lit(1).alias("n_links"), F.lit(1).alias("n_new"),
+    )
+    kept = R.truncate_after_known_pages(pages, "source", "page", n=3, block=16, first_page=0)
+    return kept.groupBy("source").agg(F.count(F.lit(1)).alias("pages"), F.max("page").alias("last_page"))
+
+
 @check(
     "b8_streaks_over_events",
     """WITH stats AS (SELECT 'u' || CAST(event_id % 3 AS STRING) AS source, event_id // 3 AS page,

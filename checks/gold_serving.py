@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,7 @@ from vacancia.operators import dims as D
 from vacancia.operators import serving as J
 from vacancia.operators.keys import assign_keys
 from vacancia.plans import gold as G
+from vacancia.plans.silver import load_pending
 from vacancia.sources.tables import read_keyed, read_table
 from vacancia.streaming import ingest as K
 
@@ -311,8 +313,8 @@ def _(spark, sf_dir):
 
 
 def _demand_sql(name: str, dim: str, key: str, extra: str = "") -> str:
-    return f"""{Q.WITH_STAR} SELECT {name}, count(*) AS postings, count(DISTINCT company_key) AS companies
-      FROM fact f {extra} JOIN {dim} d USING ({key}) GROUP BY {name}"""
+    return f"""{Q.WITH_STAR} SELECT coalesce({name}, '(none)') AS {name}, count(*) AS postings, count(DISTINCT company_key) AS companies
+      FROM fact f {extra} LEFT JOIN {dim} d USING ({key}) GROUP BY 1"""
 
 
 @check("j2_demand_city", _demand_sql("city", "dim_location", "location_key"))
@@ -333,7 +335,7 @@ def _(spark, sf_dir):
     return J.demand(gold.fact, gold.dims, "source")
 
 
-@check("j2_demand_skill", _demand_sql("skill_name", "dim_skill", "skill_key", "JOIN links USING (job_posting_key)"))
+@check("j2_demand_skill", _demand_sql("skill_name", "dim_skill", "skill_key", "LEFT JOIN links USING (job_posting_key)"))
 def _(spark, sf_dir):
     gold = star(spark, sf_dir)
     return J.demand(gold.fact, gold.dims, "skill", gold.links)
@@ -350,6 +352,21 @@ def _(spark, sf_dir):
     return J.browse(view, city="Riyadh", source="%wuz%", text="build")
 
 
+@check(
+    "j3_browse_literal",
+    f"{Q.WITH_STAR}, {VIEW_SQL}, marked AS (SELECT * REPLACE (CASE length(job_id || job_url) % 3 WHEN 0 THEN job_title || ' 100%_A' "
+    "WHEN 1 THEN job_title || ' 1000xA' ELSE job_title END AS job_title) FROM view_rows) "
+    "SELECT * FROM marked WHERE contains(lower(job_title), '100%_a') OR contains(lower(company_name), '100%_a')",
+)
+def _(spark, sf_dir):
+    """Per cent signs and underscores of the searched text stand for themselves."""
+    gold = star(spark, sf_dir)
+    view = J.serving_view(gold.fact, gold.dims, ordered=False)
+    kind = F.length(F.concat("job_id", "job_url")) % 3
+    title = F.when(kind == 0, F.concat("job_title", F.lit(" 100%_A"))).when(kind == 1, F.concat("job_title", F.lit(" 1000xA")))
+    return J.browse(view.withColumn("job_title", F.coalesce(title, "job_title")), text="100%_a")
+
+
 @check("j4_duplicate_report", f"{Q.WITH_RAW} SELECT raw_job_url, count(*) AS n FROM raw GROUP BY 1 HAVING count(*) > 1")
 def _(spark, sf_dir):
     return J.duplicate_report(raw_postings(spark, sf_dir), "raw_job_url")
@@ -417,6 +434,21 @@ def _(spark, sf_dir):
     return read_keyed(spark, path, S.SILVER)
 
 
+@check("k1_landed_to_silver", f"{STREAM_SQL} SELECT * FROM silver")
+def _(spark, sf_dir):
+    """Files land on two days and are registered as batches; Silver takes both at once, and nothing the second time."""
+    landing, path, bad, state, silver_path, rejected = (scratch(spark) for _ in range(6))
+    raw = raw_postings(spark, sf_dir).select("k", *[F.col(v).alias(n) for n, v in FLAT_B_OF_RAW.items()])
+    even = F.floor(F.col("k") / 1000) % 2 == 0
+    for day, wave in (("2030-01-02", raw.filter(even)), ("2030-01-03", raw.filter(~even))):
+        array_files(wave, landing)
+        ctx = replace(CTX, load_date=day)
+        K.load_landing(spark, landing, V.FILE_PREFIXES[2], path, bad, state, ctx, pattern="*.txt").awaitTermination()
+    for _again in range(2):
+        load_pending(spark, path, silver_path, rejected, CTX, buckets=4)
+    return read_keyed(spark, silver_path, S.SILVER)
+
+
 @check("k3_dedup_stream", "SELECT DISTINCT CAST(user_id AS STRING) || event_type AS job_id FROM events")
 def _(spark, sf_dir):
     path, state = scratch(spark), scratch(spark)

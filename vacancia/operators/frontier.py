@@ -74,16 +74,19 @@ def page_stats(pages: DataFrame, links: DataFrame, fresh: DataFrame, page: list[
 
 
 def stop_pages(
-    stats: DataFrame, source: str, page: str, n: int, max_pages: int = 0, block: int = 4096
+    stats: DataFrame, source: str, page: str, n: int, max_pages: int = 0, block: int = 4096, first_page: int | None = None
 ) -> DataFrame:
     """Per source, the last page a run reads.
 
-    A run stops at the n-th consecutive page without unseen links, at the first page without links,
+    A run begins at `first_page`, where that is given: a source whose first page failed to load stops before it,
+    at `first_page` - 1. Else it begins at the first page there is. It stops at the n-th consecutive page without unseen links, at the first page without links,
     before a page that is missing because it failed to load, or at the page cap (0 = no cap). A run
     of n pages is at most n long, so pages are cut into blocks and each block also sees the n-1 pages
     before it and the one after it: no source has to fit into one task.
     """
     block = max(block, n)
+    if first_page is not None:
+        stats = stats.filter(F.col(page) >= first_page)
     home = F.floor(F.col(page) / block)
     next_block = F.when(F.pmod(F.col(page), F.lit(block)) >= block - (n - 1), home + 1)
     block_before = F.when(F.pmod(F.col(page), F.lit(block)) == 0, home - 1)
@@ -109,15 +112,19 @@ def stop_pages(
         F.min(page).alias("_first"),
         F.max(page).alias("_last"),
     )
-    cap = F.col("_first") + max_pages - 1 if max_pages else F.col("_last")
-    return stops.select(source, F.least(F.coalesce("_stop", "_last"), cap).alias("stop_page"))
+    first = F.col("_first") if first_page is None else F.lit(first_page).cast(stats.schema[page].dataType)
+    cap = first + max_pages - 1 if max_pages else F.col("_last")
+    stop = F.least(F.coalesce("_stop", "_last"), cap)
+    return stops.select(source, F.when(F.col("_first") > first, first - 1).otherwise(stop).alias("stop_page"))
 
 
 def truncate_after_known_pages(
-    stats: DataFrame, source: str, page: str, n: int, max_pages: int = 0, block: int = 4096
+    stats: DataFrame, source: str, page: str, n: int, max_pages: int = 0, block: int = 4096, first_page: int | None = None
 ) -> DataFrame:
     """Page statistics up to and including the page where the run stops."""
-    stops = stop_pages(stats, source, page, n, max_pages, block)
+    stops = stop_pages(stats, source, page, n, max_pages, block, first_page)
+    if first_page is not None:
+        stats = stats.filter(F.col(page) >= first_page)
     return stats.join(stops, source).filter(F.col(page) <= F.col("stop_page")).drop("stop_page")
 
 

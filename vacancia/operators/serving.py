@@ -46,7 +46,7 @@ def demand(fact: DataFrame, dims: dict[str, DataFrame], by: str, links: DataFram
     dim, key, name = DEMAND_BY[by]
     rows = fact.select("job_posting_key", "company_key", "location_key", "source_key")
     if by == "skill":
-        rows = rows.join(links, "job_posting_key")
+        rows = rows.join(links, "job_posting_key", "left")
     pairs = rows.groupBy(*dict.fromkeys([key, "company_key"])).agg(F.count(F.lit(1)).alias("_n"))
     named = pairs.join(dims[dim].select(key, name), key, "left").withColumn(name, F.coalesce(name, F.lit(V.NO_MEMBER)))
     return named.groupBy(name).agg(
@@ -55,14 +55,17 @@ def demand(fact: DataFrame, dims: dict[str, DataFrame], by: str, links: DataFram
 
 
 def browse(view: DataFrame, city: str | None = None, source: str | None = None, text: str | None = None) -> DataFrame:
-    """Postings of a city or source, or with a text in title or company, ignoring case."""
+    """Postings of a city, of a source (a pattern), or with a text in title or company, ignoring case.
+
+    The text is taken as it is: `%` and `_` stand for themselves.
+    """
     if city is not None:
         view = view.filter(F.col("city") == city)
     if source is not None:
         view = view.filter(F.col("source_name").ilike(source))
     if text is not None:
-        pattern = f"%{text}%"
-        view = view.filter(F.col("job_title").ilike(pattern) | F.col("company_name").ilike(pattern))
+        part = F.lower(F.lit(text))
+        view = view.filter(F.contains(F.lower("job_title"), part) | F.contains(F.lower("company_name"), part))
     return view
 
 

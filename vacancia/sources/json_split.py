@@ -9,8 +9,8 @@ to the state of a reader is a function of two values: inside a string or not, an
 3. Records. Blocks are read again from their true beginning: whole records leave at once, the parts
    at a block's ends are joined with those of its neighbours. No text but those parts is shuffled.
 
-A file whose array does not close, or closes too early, holds a record with a lost quote or bracket. Such a
-file is scanned once more with one more rule: `},{"k":1,"m"`, where k and m are the first keys of the file's
+A file holds a record with a lost quote or bracket if its array does not close or closes too early, or if
+something else than `,`, `:` or a bracket stands behind the end of a string. Such a file is scanned once more with one more rule: `},{"k":1,"m"`, where k and m are the first keys of the file's
 first record, begins a record whatever the state. So one bad record costs one record as long as records
 begin with the same keys, and sound files do not depend on that.
 """
@@ -62,8 +62,12 @@ def fragments(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 # --- scanning -----------------------------------------------------------------------------------
 
 
-def _marks(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
-    """Places of brackets, +1 or -1 for each, quotes before each, all quotes; escaped quotes do not count."""
+#: What may stand behind a string.
+_BEHIND = np.isin(np.arange(256), list(b" \t\r\n,:]}"))
+
+
+def _marks(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Places of brackets, +1 or -1 for each, quotes before each, and quotes; escaped quotes do not count."""
     quotes = np.flatnonzero(data == 0x22)
     slashes = np.flatnonzero(data == 0x5C)
     if len(slashes) and len(quotes):
@@ -76,7 +80,7 @@ def _marks(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     lower = data | 0x20  # brackets and braces differ in one bit
     places = np.flatnonzero((lower == 0x7B) | (lower == 0x7D))
     step = np.where(lower[places] == 0x7B, 1, -1)
-    return places, step, np.searchsorted(quotes, places), len(quotes)
+    return places, step, np.searchsorted(quotes, places), quotes
 
 
 def _first_keys(chunk: bytes) -> bytes | None:
@@ -104,11 +108,12 @@ def _segments(chunk: bytes, marker: re.Pattern | None) -> Iterator[tuple[int, in
 class _Effect:
     """What a text does to a reader that begins outside (0) or inside (1) a string.
 
-    For each beginning: inside a string at the end, and brackets opened; `fixed` if the depth is absolute.
+    For each beginning: inside a string at the end, and brackets opened; `fixed` if the depth is absolute,
+    `wrong` if a string ends where none can.
     """
 
     def __init__(self):
-        self.inside, self.depth, self.fixed = [0, 1], [0, 0], [False, False]
+        self.inside, self.depth, self.fixed, self.wrong = [0, 1], [0, 0], [False, False], [False, False]
 
     def add(self, chunk: bytes, marker: re.Pattern | None):
         data = np.frombuffer(chunk, np.uint8)
@@ -118,12 +123,15 @@ class _Effect:
             _, step, before, quotes = _marks(data[begin:end])
             odd = before & 1
             opened = [int(step[odd == 0].sum()), int(step[odd == 1].sum())]
+            behind = _BEHIND[data[np.minimum(begin + quotes + 1, len(data) - 1)]]
+            wrong = [not behind[1::2].all(), not behind[0::2].all()]
             for s in (0, 1):
+                self.wrong[s] |= wrong[self.inside[s]]
                 self.depth[s] += opened[self.inside[s]]
-                self.inside[s] ^= quotes & 1
+                self.inside[s] ^= len(quotes) & 1
 
     def row(self) -> list[int]:
-        return [*self.inside, *self.depth, *map(int, self.fixed)]
+        return [*self.inside, *self.depth, *map(int, self.fixed), *map(int, self.wrong)]
 
 
 def _by_block(batches, names: list[str]) -> Iterator[tuple[tuple, list[bytes], bool]]:
@@ -146,7 +154,7 @@ def _by_block(batches, names: list[str]) -> Iterator[tuple[tuple, list[bytes], b
         yield held, texts, True
 
 
-EFFECT = "_source_file string, _file_size long, _block long, bytes long, key binary, inside0 int, inside1 int, depth0 int, depth1 int, fixed0 int, fixed1 int"
+EFFECT = "_source_file string, _file_size long, _block long, bytes long, key binary, inside0 int, inside1 int, depth0 int, depth1 int, fixed0 int, fixed1 int, wrong0 int, wrong1 int"
 
 
 def _effects(pieces: DataFrame, keys: dict[str, bytes]) -> DataFrame:
@@ -162,25 +170,28 @@ def _effects(pieces: DataFrame, keys: dict[str, bytes]) -> DataFrame:
             total += len(chunk)
             if last:
                 row = [file, size, block, total, key, *effect.row()]
-                types = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), *[pa.int32()] * 6]
+                types = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), *[pa.int32()] * 8]
                 yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types)], [c.split()[0] for c in EFFECT.split(", ")])
                 effect, total, key = _Effect(), 0, None
 
     return pieces.mapInArrow(run, EFFECT)
 
 
-START = "_source_file string, _block long, inside int, depth int, open_end boolean, ends_well boolean, key binary"
+START = "_source_file string, _block long, inside int, depth int, open_end boolean, ends_well boolean, sound boolean, key binary"
 
 
 def _starts(effects: DataFrame) -> DataFrame:
-    """START of every block: its beginning, whether the file ends here without a brace, and whether
-    the file's array closes; `key` is a pattern of the file's first keys."""
+    """START of every block: its beginning, and whether the file ends here without a brace.
+
+    Of the whole file: whether its array closes, whether it is sound, and a pattern of its first keys.
+    """
 
     def follow(blocks: pd.DataFrame) -> pd.DataFrame:
         blocks = blocks.sort_values("_block").reset_index(drop=True)
-        inside, depth, begins = 0, 0, []
+        inside, depth, wrong, begins = 0, 0, False, []
         for b in blocks.itertuples():
             begins.append((inside, depth))
+            wrong |= bool(b.wrong1 if inside else b.wrong0)
             fixed, more = (b.fixed1, b.depth1) if inside else (b.fixed0, b.depth0)
             inside, depth = (b.inside1 if inside else b.inside0), more if fixed else depth + more
         # A byte order mark is not among the fragments.
@@ -191,6 +202,7 @@ def _starts(effects: DataFrame) -> DataFrame:
         out["inside"], out["depth"] = [b[0] for b in begins], [b[1] for b in begins]
         out["open_end"] = [False] * (len(out) - 1) + [unended]
         out["ends_well"] = not inside and depth == 0
+        out["sound"] = not inside and depth == 0 and not wrong
         out["key"] = blocks["key"].iloc[0]
         return out
 
@@ -256,7 +268,7 @@ class _Cutter:
         rest = text[at:]
         (self.between if self.open is None else self.open).append(rest)
         self.depth = int(depth[-1]) if len(depth) else self.depth
-        self.inside ^= quotes & 1
+        self.inside ^= len(quotes) & 1
 
     def finish(self):
         self._end_between()
@@ -311,7 +323,7 @@ def split_records(spark: SparkSession, paths: str | list[str], files: list[str])
     """
     pieces = fragments(spark, paths).filter(F.col("_source_file").isin(files))
     starts = materialize(_starts(_effects(pieces, {})))
-    lost = {r["_source_file"]: bytes(r["key"]) for r in starts.filter("NOT ends_well AND key IS NOT NULL AND _block = 0").collect()}
+    lost = {r["_source_file"]: bytes(r["key"]) for r in starts.filter("NOT sound AND key IS NOT NULL AND _block = 0").collect()}
     if lost:
         again = _starts(_effects(pieces.filter(F.col("_source_file").isin([*lost])), lost))
         starts = materialize(starts.filter(~F.col("_source_file").isin([*lost])).withColumn("key", F.lit(None).cast("binary")).unionByName(again))
