@@ -121,6 +121,33 @@ def _(spark, sf_dir):
     )
 
 
+@check(
+    "b3_selector_chain",
+    """WITH kinds AS (SELECT page_id, page_id % 5 AS kind FROM pages)
+       SELECT page_id, CAST(i AS INT) AS pos, '/jobs/' || CAST(page_id AS STRING) || '?n=' || CAST(i AS STRING) || '&k=' || CAST(kind AS STRING) AS href
+       FROM kinds, (VALUES (0), (1)) AS t(i) WHERE kind < 4""",
+)
+def _(spark, sf_dir):
+    """Result pages in four layouts of their links, and a fifth without any, around the given pages."""
+    kind = F.col("page_id") % 5
+    layouts = [
+        ("<h2 class='x search-job-title' data-x=\"1>2\"><b><a class='search-job-title-link y' href=\"", "\">t</a></b></h2>", "<h2><a href='/jobs/no'>n</a></h2>"),
+        ("<h2 class=x><a data-y='</h2>' href='", "'>t</a></h2>", "<h3><a href='/jobs/no'>n</a></h3>"),
+        ("<div><h3><i></i><a href='", "'>t</a></h3></div>", "<p><a href='/jobs/no'>n</a>"),
+        ("<p><a href=", " class=z>t</a>", "<!-- <h2><a href='/jobs/no'></a></h2> -->"),
+        ("<p><a href='/x' title='", "'>t</a>", "<script>'<a href=/jobs/no>'</script>"),
+    ]
+    target = [
+        F.concat(F.lit("/jobs/"), F.col("page_id").cast("string"), F.lit(f"?n={i}&amp;k="), kind.cast("string")) for i in (0, 1)
+    ]
+    links = F.lit("")
+    for k, (before, after, other) in enumerate(layouts):
+        parts = [F.lit(other), F.lit(before), target[0], F.lit(after), F.lit(before), target[1], F.lit(after)]
+        links = F.when(kind == k, F.concat(*parts)).otherwise(links)
+    pages = table(spark, sf_dir, "pages").select("page_id", F.concat(links, F.col("html")).alias("html"))
+    return X.select_links(pages, "html", V.RESULT_LINKS)
+
+
 @check(
     "b4_normalize_url",
     """WITH variants AS (SELECT page_id, kind, CASE kind

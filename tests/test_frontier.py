@@ -108,3 +108,19 @@ def test_links_in_all_quotings(spark):
     html = """<a href='/1'><A class=x HREF = "/2?a=1&amp;b=2"><a data-href="/no" href=/3><!-- <a href="/no"> --><a data-href="/no">"""
     row = spark.createDataFrame([(html,)], "html string").select(R.hrefs(F.col("html")).alias("l")).first()
     assert row["l"] == ["/1", "/2?a=1&b=2", "/3"]
+
+
+def test_links_read_as_a_browser_does(spark):
+    html = """<a data-x="1>2" href="/ok"><div title='<a href="/no">'><a href=/p/?a=1&copy=2&amp;b><abbr href="/no"><A
+    HREF='/x"y'/><a href><script>"<a href='/no'>"</script><a name=n><!-- <a href="/no"> """
+    row = spark.createDataFrame([(html,), (None,)], "html string").select(R.hrefs(F.col("html")).alias("l")).collect()
+    assert [r["l"] for r in row] == [["/ok", "/p/?a=1&copy=2&b", '/x"y'], []]
+
+
+def test_run_needs_its_first_page(spark):
+    pages = [(s, p, 2, 1) for s, ps in {"a": [3, 4, 5], "b": [1, 2, 4], "c": [0, 1, 2]}.items() for p in ps]
+    stats = spark.createDataFrame(pages, "source string, page long, n_links long, n_new long")
+    got = R.stop_pages(stats, "source", "page", 2, block=8, first_page=1).collect()
+    assert {r["source"]: r["stop_page"] for r in got} == {"a": 0, "b": 2, "c": 2}
+    left = R.truncate_after_known_pages(stats, "source", "page", 2, block=8, first_page=1).collect()
+    assert {(r["source"], r["page"]) for r in left} == {("b", 1), ("b", 2), ("c", 1), ("c", 2)}

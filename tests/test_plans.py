@@ -77,10 +77,10 @@ def test_scan_is_pruned_and_filtered(spark, sf):
     assert re.search(r"ReadSchema: struct<page_id:bigint,html:string>", text)
 
 
-def test_only_html_goes_to_python(spark, sf):
+def test_no_python_reads_pages(spark, sf):
     pages = spark.read.parquet(f"{sf}/pages.parquet")
-    text = plan(X.extract_fields(pages, "html", {"h1": X.FieldSpec(["h1"])}).select("url", "fields.h1"))
-    assert "ArrowEvalPython" in text and text.count("ArrowEvalPython") == 1
+    text = plan(X.flat_b_records(pages.select("url", "html"), "2026-01-01", "b"))
+    assert "Python" not in text and "Exchange" not in text and "ReadSchema: struct<url:string,html:string>" in text
 
 
 def test_city_map_is_one_literal(spark):

@@ -194,3 +194,11 @@ CITY_NAMES = {
     "رفحاء": "Rafha",
     "الحدود الشمالية": "Northern Borders",
 }
+
+# Where a result page of flat portal B keeps its links; the first selector that fits anything counts.
+RESULT_LINKS = [
+    "h2.search-job-title a.search-job-title-link",
+    "h2 a[href*='/jobs/']",
+    "h3 a[href*='/jobs/']",
+    "a[href*='/jobs/']",
+]

@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
-from html.parser import HTMLParser
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +13,17 @@ from vacancia.functions.arrays import join_list, kv_map
 from vacancia.functions.classify import classify_tags
 from vacancia.functions.dates import lenient_iso
 from vacancia.functions.ids import slug_id
+from vacancia.functions.tags import (
+    Step,
+    attribute,
+    chosen,
+    elements,
+    parse_selector,
+    tags,
+    text_within,
+    texts,
+    tokens,
+)
 from vacancia.functions.text import first_truthy, strip
 from vacancia.functions.urls import absolute_url
 from vacancia.schemas import PAGE_STATE
@@ -168,137 +176,65 @@ def flat_a_records(pages: DataFrame, stamp: str) -> DataFrame:
 
 # --- elements by tag, class or id ---------------------------------------------------------------
 
-_VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_NO_TEXT = frozenset(["script", "style", "template"])
-
-
 @dataclass(frozen=True)
 class FieldSpec:
     """What to read: elements matching any selector; their text, or one attribute of them.
 
     A selector is a chain of steps separated by spaces (`.job-tags .job-tag`), each step a tag with
-    optional `.class` and `#id` (`a.company-link`, `#body`). With `child` the text of the element's
-    inner tag of that name, counted from 0, is read instead (null if there are fewer).
+    optional `.class`, `#id` and `[attribute*='value']` (`a.company-link`, `#body`, `h2 a[href*='/jobs/']`).
+    With `child` the text of the element's inner tag of that name, counted from 0, is read instead (null
+    if there are fewer). With `first_match` the selectors are tried in turn: the first that fits any
+    element gives them all.
     """
 
     selectors: list[str]
     attribute: str | None = None
     child: tuple[str, int] | None = None
-
-
-def _step(text: str) -> tuple[str, frozenset, str]:
-    text, _, ident = text.partition("#")
-    tag, *classes = text.split(".")
-    return tag, frozenset(classes), ident
-
-
-class _Hit:
-    """One matching element: its value once read."""
-
-    def __init__(self, value: str | None = None):
-        self.value = value
-        self.texts: list[str] | None = None
-        self.children = 0
-
-    def result(self) -> str | None:
-        return self.value if self.texts is None else " ".join(self.texts)
-
-
-class _Reader(HTMLParser):
-    """Collects the wanted elements of one page in document order."""
-
-    def __init__(self, wanted: list[tuple[FieldSpec, list[list[tuple]]]]):
-        super().__init__(convert_charrefs=True)
-        self.wanted = wanted
-        self.found: list[list[_Hit]] = [[] for _ in wanted]
-        self.path: list[tuple[str, frozenset, str | None]] = []
-        self.reading: list[tuple[int, _Hit]] = []
-        self.parents: list[tuple[int, _Hit, FieldSpec]] = []
-
-    @staticmethod
-    def _fits(step: tuple, element: tuple) -> bool:
-        return step[0] in ("", element[0]) and step[1] <= element[1] and step[2] in ("", element[2])
-
-    def _matches(self, steps: list[tuple]) -> bool:
-        at = len(self.path) - 1
-        if not self._fits(steps[-1], self.path[at]):
-            return False
-        for step in reversed(steps[:-1]):
-            at -= 1
-            while at >= 0 and not self._fits(step, self.path[at]):
-                at -= 1
-            if at < 0:
-                return False
-        return True
-
-    def handle_starttag(self, tag, attrs):
-        values = dict(attrs)
-        self.path.append((tag, frozenset((values.get("class") or "").split()), values.get("id")))
-        depth = len(self.path)
-        for _, hit, spec in self.parents:
-            if tag == spec.child[0]:
-                if hit.children == spec.child[1]:
-                    hit.texts = []
-                    self.reading.append((depth, hit))
-                hit.children += 1
-        for hits, (spec, selectors) in zip(self.found, self.wanted):
-            if any(self._matches(steps) for steps in selectors):
-                hit = _Hit(values.get(spec.attribute) if spec.attribute else None)
-                hits.append(hit)
-                if spec.child:
-                    self.parents.append((depth, hit, spec))
-                elif not spec.attribute:
-                    hit.texts = []
-                    self.reading.append((depth, hit))
-        if tag in _VOID:
-            self._close(depth)
-
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-        if tag not in _VOID:
-            self._close(len(self.path))
-
-    def handle_endtag(self, tag):
-        for depth in range(len(self.path), 0, -1):
-            if self.path[depth - 1][0] == tag:
-                self._close(depth)
-                return
-
-    def handle_data(self, data):
-        text = data.strip()
-        if text and self.reading and self.path[-1][0] not in _NO_TEXT:
-            for _, hit in self.reading:
-                hit.texts.append(text)
-
-    def _close(self, depth: int):
-        del self.path[depth - 1 :]
-        self.reading = [r for r in self.reading if r[0] < depth]
-        self.parents = [p for p in self.parents if p[0] < depth]
-
-
-def _read_page(html: str | None, wanted: list[tuple[FieldSpec, list[list[tuple]]]]) -> list[list]:
-    reader = _Reader(wanted)
-    reader.feed(html or "")
-    reader.close()
-    return [[hit.result() for hit in hits] for hits in reader.found]
+    first_match: bool = False
 
 
 def extract_fields(df: DataFrame, html_col: str, spec: dict[str, FieldSpec]) -> DataFrame:
-    """Adds `fields`: per name the matching elements' stripped texts (or attribute), in page order.
-
-    Nested elements need a real HTML parser, so this one runs in Python, on Arrow batches of the
-    HTML column alone.
-    """
-    names = list(spec)
-    wanted = [(f, [[_step(t) for t in sel.split()] for sel in f.selectors]) for f in spec.values()]
-    schema = T.StructType([T.StructField(n, T.ArrayType(T.StringType())) for n in names])
-
-    @F.pandas_udf(schema)
-    def read(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for pages in batches:
-            yield pd.DataFrame([_read_page(page, wanted) for page in pages], columns=names)
-
-    return df.withColumn("fields", read(F.col(html_col)))
+    """Adds `fields`: per name the matching elements' stripped texts (or attribute), in page order."""
+    parsed = {name: [parse_selector(s) for s in field.selectors] for name, field in spec.items()}
+    steps = [step for selectors in parsed.values() for selector in selectors for step in selector]
+    steps += [Step(field.child[0], (), "", ()) for field in spec.values() if field.child]
+    steps.append(Step("template", (), "", ()))
+
+    staged = df.withColumn("_stream", tokens(F.col(html_col)))
+    staged = staged.withColumn("_tags", tags(F.col("_stream"), steps))
+    staged = staged.withColumn("_elements", elements(F.col("_stream"), F.col("_tags")))
+    staged = staged.withColumn("_texts", texts(F.col("_stream"), F.col("_elements")))
+    among, written = F.col("_elements"), F.col("_texts")
+
+    def values(field: FieldSpec, selectors: list[list[Step]]) -> Column:
+        found = [chosen(among, selector) for selector in selectors]
+        if field.first_match:
+            hits = F.coalesce(*[F.when(F.size(f) > 0, f) for f in found], found[-1])
+        else:
+            hits = F.array_sort(F.array_distinct(F.concat(*found)), lambda a, b: a["at"] - b["at"]) if len(found) > 1 else found[0]
+
+        def value(hit: Column) -> Column:
+            if field.attribute:
+                return attribute(hit, field.attribute)
+            if field.child:
+                tag, number = field.child
+                inner = F.filter(among, lambda e: (hit["at"] < e["at"]) & (e["at"] < hit["end"]) & (e["tag"] == tag))
+                nth = F.try_element_at(inner, F.lit(number + 1))
+                return F.when(nth.isNotNull(), text_within(nth, written))
+            return text_within(hit, written)
+
+        return F.transform(hits, value)
+
+    fields = F.struct(*[values(field, parsed[name]).alias(name) for name, field in spec.items()])
+    return staged.withColumn("fields", fields).drop("_stream", "_tags", "_elements", "_texts")
+
+
+def select_links(df: DataFrame, html_col: str, selectors: list[str], source: str = "href") -> DataFrame:
+    """Links of the first selector that fits any element of a page, with their position; empty ones are left out."""
+    spec = {"links": FieldSpec(selectors, attribute=source, first_match=True)}
+    others = [c for c in df.columns if c != html_col]
+    links = extract_fields(df, html_col, spec).select(*others, F.posexplode("fields.links").alias("pos", "href"))
+    return links.filter(F.col("href") != "")
 
 
 _COMPANY = ["a.job-meta-company", ".job-company-name", ".company-name", "a.company-name-link"]

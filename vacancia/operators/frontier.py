@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vacancia import fixed_values as V
+from vacancia.functions.tags import anchors, value_of
 from vacancia.operators.dedup import latest_by
 from vacancia.operators.keys import assign_keys
 
@@ -31,12 +32,10 @@ def extract_locs(df: DataFrame, xml_col: str) -> DataFrame:
 def hrefs(html: Column, before: str = "") -> Column:
     """Link targets of all anchors, optionally only of anchors right after a pattern.
 
-    Values may stand in either quotes or none; comments and scripts hold no anchors.
+    Anchors are read as a browser does: values in either quotes or none, `>` within them, and neither in
+    comments, an unclosed one included, nor in scripts.
     """
-    bare = F.regexp_replace(html, r"(?is)<!--.*?-->|<script\b.*?</script\s*>", "")
-    anchor = rf"(?i){before}<a\s(?:[^>]*?\s)?href\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)"
-    found = F.regexp_extract_all(F.when(html.rlike(r"(?i)<!--|<script"), bare).otherwise(html), F.lit(anchor), F.lit(1))
-    return F.transform(found, lambda v: unescape_entities(F.regexp_replace(v, r"""^["']|["']$""", "")))
+    return F.array_compact(F.transform(anchors(html, before), lambda tag: value_of(tag, "href")))
 
 
 def extract_links(df: DataFrame, html_col: str, contains: str = "") -> DataFrame:
