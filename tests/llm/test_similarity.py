@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from vacancia.llm import exact_dedup, fingerprints, ngram_join, trie
 
@@ -79,6 +80,17 @@ def test_keep_one_judges_texts_of_a_repeated_key_apart(spark):
     assert sorted(map(tuple, kept), key=repr) == sorted([(1, base), (2, other), (2, None)], key=repr)
 
 
+def test_keep_one_with_any_column_names(spark):
+    base, other = (" ".join(f"{c}{i}" for i in range(40)) for c in "ab")
+    rows = [(1, base), (2, base), (3, other), (3, base)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for name in ("dropped", "row", "of_key", "of_text", "name", "key", "component_id", "n", "count", "least"):
+        docs = docs.withColumn(name, F.lit(name))
+    kept = ngram_join.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(1, base), (3, other)]
+
+
 def test_trie_equals_pairwise():
     rng = np.random.default_rng(3)
     sets = [np.unique(np.concatenate([rng.choice(60, 40), rng.choice(2000, k)])) for k in (0, 1, 5, 20, 30) * 8]

@@ -55,6 +55,28 @@ def test_library_ids_are_those_of_the_library(texts):
 SPELLED = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>x", "don't  <|endoftext|>'s \n<|endoftext", "é \t<|endoftext|>\n\n", ""]
 
 
+def test_every_code_point_has_the_class_of_the_libraries(reference):
+    """Before and behind letters, digits, apostrophes and white space."""
+    library = Tokenizer.from_file(LIBRARY)
+    points = [*range(0xD800), *range(0xE000, 0x110000)]
+    texts = ["".join(f"{c}'s {c}'re1{c} {c}{c}a{c}\n" for c in map(chr, points[i : i + 4000])) for i in range(0, len(points), 4000)]
+    pieces = [[p.decode() for p in found] for found in pretokens.split([t.encode() for t in texts])]
+    assert all("".join(p) == t for p, t in zip(pieces, texts))
+    known = {}  # ids of pieces, so that the rank merge runs once for each
+
+    def ids(piece):
+        if piece not in known:
+            known[piece] = reference.encode_ordinary(piece)
+        return known[piece]
+
+    for text, found, whole in zip(texts, pieces, reference.encode_ordinary_batch(texts)):
+        assert [i for p in found for i in ids(p)] == whole, hex(ord(text[0]))
+    for text in texts[:20] + texts[-1:]:
+        bounds = [p for p, _ in library.pre_tokenizer.pre_tokenize_str(text)]
+        (own,) = pretokens.split([text.encode()])
+        assert [len(b) for b in own] == [len(b) for b in bounds]
+
+
 def test_added_tokens_are_cut_out_as_the_library_does(texts):
     library = Tokenizer.from_file(LIBRARY)
     plain = [t or "" for _, t in texts] + SPELLED

@@ -406,21 +406,21 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     """The rows of `docs` without those whose class has a row of smaller key.
 
     Rows without words or key stay. Rows that repeat key and text are one document: one stays. Rows
-    that repeat a key with other texts are judged each by the class of its own text.
+    that repeat a key with other texts are judged each by the class of its own text. Columns may have any names.
     """
     found = stored(_similar(docs, key, text), new_folder(docs.sparkSession, "similar"))
-    twice = found.groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("dropped"))
-    same = F.col(key) == F.col("dropped")
+    rows = docs.select(F.struct("*").alias("row"))
+    own = F.col("row").getField(key).cast("long")
+    twice = found.groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL").select("doc_id")
+    repeated = None
     if not twice.isEmpty():
         twice = small(stored(twice, new_folder(docs.sparkSession, "repeated")), 16)
-        repeated = _judged(docs.join(twice, same, "left_semi"), found, key, text)
-        docs = docs.join(twice, same, "left_anti")
-    else:
-        repeated = None
-    dropped = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("dropped")).distinct()
+        repeated = _judged(rows.join(twice, own == F.col("doc_id"), "left_semi"), found, key, text)
+        rows = rows.join(twice, own == F.col("doc_id"), "left_anti")
+    dropped = found.filter("doc_id <> component_id").select("doc_id").distinct()
     dropped = small(stored(dropped, new_folder(docs.sparkSession, "dropped")), 16)
-    kept = docs.join(dropped, same, "left_anti")
-    return kept.unionByName(repeated) if repeated else kept
+    kept = rows.join(dropped, own == F.col("doc_id"), "left_anti")
+    return (kept.unionByName(repeated) if repeated else kept).select("row.*")
 
 
 def _judged(rows: DataFrame, found: DataFrame, key: str, text: str) -> DataFrame:
@@ -432,9 +432,9 @@ def _judged(rows: DataFrame, found: DataFrame, key: str, text: str) -> DataFrame
             names = pa.array([set_name(s) for s in sets], pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns, names], ["of_key", "of_text", "name"])
 
-    rows = rows.dropDuplicates([key, text])
-    keyed = rows.select(F.col(key).cast("long").alias("of_key"), F.col(text).alias("of_text"))
-    named = keyed.mapInArrow(name, "of_key long, of_text string, name long")
+    rows = rows.select("row", F.col("row").getField(key).cast("long").alias("of_key"), F.col("row").getField(text).alias("of_text"))
+    rows = rows.dropDuplicates(["of_key", "of_text"])
+    named = rows.select("of_key", "of_text").mapInArrow(name, "of_key long, of_text string, name long")
     worse = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("of_key"), "name").distinct()
-    worse = named.join(worse, ["of_key", "name"], "left_semi")
-    return rows.join(worse, (F.col(key) == F.col("of_key")) & F.col(text).eqNullSafe(F.col("of_text")), "left_anti")
+    worse = named.join(worse, ["of_key", "name"], "left_semi").select(F.col("of_key").alias("key"), F.col("of_text").alias("text"))
+    return rows.join(worse, (F.col("of_key") == F.col("key")) & F.col("of_text").eqNullSafe(F.col("text")), "left_anti").select("row")

@@ -10,10 +10,10 @@ doubling, and the state before each position decides whether a token starts ther
 from __future__ import annotations
 
 import functools
-import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
+import tiktoken
 
 # The code points with the Unicode property White_Space.
 WHITE_SPACE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
@@ -89,14 +89,19 @@ def automaton() -> tuple[bytes, bytes, bytes, bytes]:
 @functools.cache
 def classes() -> np.ndarray:
     """The class of every code point, by its general category."""
-    table = np.fromiter(map(_category, range(0x110000)), np.uint8, 0x110000)
+    table = np.full(0x110000, OTHER, np.uint8)
+    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+    for category, number in (("L", LETTER), ("N", NUMBER)):
+        table[[ord(c) for c in _members(every, category)]] = number
     table[WHITE_SPACE] = BLANK
     return table
 
 
-def _category(point: int) -> int:
-    kind = unicodedata.category(chr(point))[0]
-    return LETTER if kind == "L" else NUMBER if kind == "N" else OTHER
+def _members(text: str, category: str) -> str:
+    """The code points of a general category. The encoding library is asked, whose Unicode version decides,
+    not Python's: it encodes what its pattern finds, here one byte to an id, and nothing else."""
+    probe = tiktoken.Encoding("probe", pat_str=rf"\p{{{category}}}", mergeable_ranks={bytes([b]): b for b in range(256)}, special_tokens={})
+    return probe.decode(probe.encode_ordinary(text))
 
 
 @functools.cache
