@@ -19,37 +19,46 @@ def test_query_equals_its_twin(spark, sf, name):
 
 
 def test_lines(spark):
-    rows = [(i, "h", f"top\nown {i}\n\nfoot") for i in range(40)] + [(90, "h", "top"), (91, None, "top"), (92, "h", None), (93, "h", "")]
-    rows += [(100 + i, "small", "top\nx") for i in range(4)]
-    docs = spark.createDataFrame(rows, "doc_id long, source string, text string").withColumn("n_chars", F.length("text")).withColumn("keys", F.lit(1))
+    rows = [(i, "h", f"top\nown text {i}\n\nfoot") for i in range(40)] + [(90, "h", "top"), (91, None, "top"), (92, "h", None), (93, "h", "")]
+    rows += [(100 + i, "small", f"top\ntext of page {i}") for i in range(2)] + [(110, "one", "top\nx")]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string").withColumn("n_chars", F.length("text"))
+    docs = docs.withColumns({name: F.lit(name) for name in ("keys", "page", "host", "row", "line", "parts", "new")})
     out = {r.doc_id: r for r in line_dedup.dedup_lines(docs, length="n_chars").collect()}
-    assert out[3].text == "own 3\n" and out[3].n_chars == 6 and out[3]["keys"] == 1
+    assert out[3].text == "own text 3\n" and out[3].n_chars == 11 and out[3]["keys"] == "keys" and len(out[3]) == len(docs.columns)
     assert (out[90].text, out[91].text, out[92].text, out[93].text) == ("", "top", None, "")
-    assert all(out[100 + i].text == "top\nx" for i in range(4))  # on too few pages
+    assert [out[100 + i].text for i in range(2)] == ["text of page 0", "text of page 1"]  # on all pages of a small host
+    assert out[110].text == "top\nx"
     assert line_dedup.dedup_lines(docs.limit(0)).count() == 0
 
 
-def test_line_on_exactly_the_ratio_stays(spark):
-    rows = [(i, "h", "often" if i < 10 else f"own {i}") for i in range(100)]
-    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
-    assert line_dedup.boilerplate(docs, "source", "text").count() == 0
-    assert line_dedup.boilerplate(docs.union(docs.limit(1)), "source", "text").count() == 1
-
-
 def test_lines_by_length(spark):
-    """Long lines go from a small share of the pages on, footers of small hosts too; copies keep their text."""
+    """Long lines go from a small share of the pages on; whole texts that repeat stay."""
     long, licence, short = "a long passage " * 7, "Licensed under CC BY-NC 4.0.", "And."
     on = {long: 4, "an other long passage " * 5: 2, licence: 6, short: 13, "The.": 12}
-    rows = [(i, "h", "\n".join([f"own {i}", *(x for x, n in on.items() if i < n)])) for i in range(500)]
-    rows += [(1000 + i, "small", f"page {i}\nfoot") for i in range(3)] + [(1010 + i, "copies", "same\ntext") for i in range(9)]
+    own = "some words of its own that stand on this page and on no other one of the site, number {} of many " * 4
+    rows = [(i, "h", "\n".join([own.format(*[i] * 4), *(x for x, n in on.items() if i < n)])) for i in range(500)]
+    rows += [(1000 + i, "small", f"page number {i}\nfoot") for i in range(3)] + [(1010 + i, "copies", "same\ntext") for i in range(9)]
     docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
-    out = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs, by_length=True).collect()}
-    assert out[0] == "own 0\n" + "an other long passage " * 5 + "\nThe."  # on too few pages for their length
-    assert out[5] == "own 5\nThe." and out[12] == "own 12"
-    assert [out[1000 + i] for i in range(3)] == ["page 0", "page 1", "page 2"]
+    out = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs).collect()}
+    tail = lambda i: out[i].split("\n")[1:]
+    assert tail(0) == ["an other long passage " * 5, "The."]  # on too few pages for their length
+    assert tail(5) == ["The."] and tail(12) == []
+    assert [out[1000 + i] for i in range(3)] == [f"page number {i}" for i in range(3)]
     assert all(out[1010 + i] == "same\ntext" for i in range(9))
 
 
+@pytest.mark.parametrize("others", [0, 2, 4, 500])
+@pytest.mark.parametrize("copies", [2, 3, 40])
+def test_near_copies_count_once(spark, others, copies):
+    """An article with other last lines keeps its text on hosts of any size; footers around it go."""
+    article = "\n".join(f"line {k} of the article, which is copied with small changes" for k in range(20))
+    rows = [(i, "h", f"{article}\nposted at 10:{i:02d}\nAll rights reserved by the owners of this site.") for i in range(copies)]
+    rows += [(100 + i, "h", f"page {i} has a text of its own\nand a second line {i} " * 3 + "\nAll rights reserved by the owners of this site.") for i in range(others)]
+    out = {r.doc_id: r.text for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, source string, text string")).collect()}
+    assert all(out[i].startswith(f"{article}\nposted at 10:{i:02d}") for i in range(copies))
+    assert [i for i in out if "rights" in out[i]] == ([] if others else list(range(copies)))
+
+
 def test_archive(spark):
     long = "x" * 120
     rows = [(3, "u3", long), (1, "u1", long), (1, "u1", long), (None, "u", long), (5, None, "short"), (6, "a\r\nb", "short"), (7, "u", None), (8, "u", "é" * 60)]

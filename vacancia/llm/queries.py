@@ -57,14 +57,25 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op5_line_dedup"] = """
-WITH lines AS (
-  SELECT source, unnest(list_distinct(string_split(text, chr(10)))) AS line FROM documents WHERE source IS NOT NULL
-), totals AS (SELECT source, count(*) AS pages FROM documents WHERE source IS NOT NULL GROUP BY source),
-counts AS (SELECT source, line, count(*) AS n FROM lines WHERE trim(line) <> '' GROUP BY source, line),
-lists AS (
-  SELECT source, list(line) AS gone FROM counts JOIN totals USING (source)
-  WHERE n >= 5 AND n > CAST(0.1 AS DOUBLE) * pages GROUP BY source
-), kept AS (
+WITH pages AS (
+  SELECT row_number() OVER () AS page, source AS host,
+         list_filter(list_distinct(string_split(coalesce(text, ''), chr(10))), lambda x: trim(x) <> '') AS lines
+  FROM documents WHERE source IS NOT NULL
+), laid AS (
+  SELECT page, host, CAST(list_sum(list_transform(lines, lambda x: length(x))) AS BIGINT) AS total, unnest(lines) AS line FROM pages
+), counts AS (SELECT host, line, count(*) AS n FROM laid GROUP BY ALL HAVING count(*) >= 2),
+shared AS (SELECT laid.*, n FROM laid JOIN counts USING (host, line)),
+by_n AS (SELECT page, total, n, sum(length(line)) AS chars FROM shared GROUP BY ALL),
+parts AS (
+  SELECT page, 720720 // max(n) AS parts
+  FROM (SELECT *, sum(chars) OVER (PARTITION BY page ORDER BY n DESC) AS up_to FROM by_n) WHERE 2 * up_to >= total GROUP BY page
+), totals AS (SELECT host, sum(coalesce(parts, 720720)) AS pages FROM pages LEFT JOIN parts USING (page) GROUP BY host),
+found AS (
+  SELECT host, line FROM (
+    SELECT host, line, sum(coalesce(parts, 720720)) AS with_line FROM shared LEFT JOIN parts USING (page) GROUP BY ALL) JOIN totals USING (host)
+  WHERE (with_line - 2 * 720720) * 50 * greatest(length(line), 10) > 10 * pages OR (with_line = pages AND 2 * pages > 3 * 720720)
+), lists AS (SELECT host AS source, list(line) AS gone FROM found GROUP BY host),
+kept AS (
   SELECT doc_id, source, text, gone,
          list_filter(string_split(text, chr(10)), lambda x: NOT list_contains(gone, x)) AS stay
   FROM documents LEFT JOIN lists USING (source)
