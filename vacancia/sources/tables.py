@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
+from dataclasses import dataclass, replace
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -113,53 +113,189 @@ def read_batch(df: DataFrame, ctx: RunContext) -> DataFrame:
     )
 
 
-def _bucketed(df: DataFrame, keys: list[str], buckets: int) -> DataFrame:
-    return df.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+# --- keyed tables -------------------------------------------------------------------------------
+#
+# Rows lie in hash buckets that grow with the table: when its rows outgrow them, buckets are split in turn, and only
+# those are written anew. What readers and the next writer must know is one small record: which folder
+# holds the table, how many buckets it has, and which of them have their rows in the staging folder just now.
 
+STATE = T.StructType(
+    [T.StructField("seq", T.LongType()), T.StructField("version", T.IntegerType()), T.StructField("buckets", T.IntegerType()),
+     T.StructField("rows", T.LongType()), T.StructField("staged", T.ArrayType(T.IntegerType()))]
+)
+#: Rows that a bucket holds in the mean before the table grows.
+BUCKET_ROWS = 250_000
 
-def _write_buckets(df: DataFrame, path: str, mode: str) -> None:
+
+@dataclass(frozen=True)
+class TableState:
+    """`rows` counts what loads inserted; a load that was repeated after it broke off may be missing in it."""
+
+    seq: int
+    version: int
+    buckets: int
+    rows: int
+    staged: list[int] | None = None
+
+
+def table_state(spark: SparkSession, path: str) -> TableState | None:
+    """The table's record; null if there is no table."""
+    held = None
+    for slot in (0, 1):
+        row = read_table(spark, f"{path.rstrip('/')}__state/{slot}", STATE).first()
+        if row is not None and (held is None or row["seq"] > held.seq):
+            held = TableState(**row.asDict())
+    return held
+
+
+def _record(spark: SparkSession, path: str, state: TableState) -> TableState:
+    """Make the record current. Records take turns in two places, so one of them is always whole."""
+    state = replace(state, seq=state.seq + 1)
+    row = spark.createDataFrame([(state.seq, state.version, state.buckets, state.rows, state.staged)], STATE)
+    row.coalesce(1).write.mode("overwrite").parquet(f"{path.rstrip('/')}__state/{state.seq % 2}")
+    return state
+
+
+def _folder(path: str, version: int) -> str:
+    return f"{path.rstrip('/')}__v{version}" if version else path
+
+
+def bucket_of(keys: list[str], buckets: int) -> Column:
+    """Linear hashing: the hash by the next power of two, or by the one before where that bucket is not there yet."""
+    power = 1 << (buckets - 1).bit_length()
+    h = F.xxhash64(*keys)
+    wide = F.pmod(h, F.lit(power))
+    return F.when(wide < buckets, wide).otherwise(F.pmod(h, F.lit(max(power // 2, 1)))).cast("int")
+
+
+def _write_buckets(df: DataFrame, folder: str, mode: str, overwrite: str = "dynamic") -> None:
     # The rebalance hint splits large buckets over tasks and packs small ones together.
     writer = df.hint("rebalance", BUCKET).write.mode(mode).partitionBy(BUCKET)
-    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+    writer.option("partitionOverwriteMode", overwrite).parquet(folder)
+
+
+def _with_bucket(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])
+
+
+def _staging(path: str) -> str:
+    return f"{path.rstrip('/')}__staged"
 
 
 def read_keyed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A table kept by `upsert_table`, without its bucket column."""
-    return read_table(spark, path, T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])).drop(BUCKET)
+    state = table_state(spark, path)
+    rows = read_table(spark, _folder(path, state.version if state else 0), _with_bucket(schema))
+    if state and state.staged is not None:
+        staged = read_table(spark, _staging(path), _with_bucket(schema))
+        rows = rows.filter(~F.col(BUCKET).isin(state.staged)).unionByName(staged)
+    return rows.drop(BUCKET)
+
+
+def _swap(spark: SparkSession, path: str, state: TableState, rows: DataFrame, buckets: list[int]) -> TableState:
+    """Put `rows` in place of all rows of some buckets.
+
+    They are staged first. From the moment the record names the buckets, their rows are the staged
+    ones, for readers and for a writer that finds the swap unfinished.
+    """
+    _write_buckets(rows, _staging(path), "overwrite", "static")
+    state = _record(spark, path, replace(state, staged=buckets))
+    return _finish(spark, path, state, T.StructType([f for f in rows.schema if f.name != BUCKET]))
+
+
+def _finish(spark: SparkSession, path: str, state: TableState, schema: T.StructType) -> TableState:
+    """Move staged rows to their buckets; may be repeated."""
+    if state.staged is None:
+        return state
+    folder, staged = _folder(path, state.version), read_table(spark, _staging(path), _with_bucket(schema))
+    _write_buckets(staged, folder, "overwrite")
+    filled = {row[0] for row in staged.select(BUCKET).distinct().collect()}  # numbers of buckets
+    _delete(spark, [f"{folder}/{BUCKET}={b}" for b in state.staged if b not in filled])
+    return _record(spark, path, replace(state, staged=None))
 
 
 def upsert_table(
-    spark: SparkSession, path: str, source: DataFrame, keys: list[str], buckets: int = 64
-) -> None:
-    """Update matched rows and insert the others; `source` holds each key once.
+    spark: SparkSession, path: str, source: DataFrame, keys: list[str], buckets: int = 64, bucket_rows: int | None = None
+) -> dict[str, int]:
+    """Update matched rows and insert the others; `source` holds each key once. Gives out how many of each.
 
-    The first load writes everything. Later loads find the matches from the key columns alone,
-    rewrite only the buckets that hold a match, and append the rest. All steps may be repeated.
+    The first load writes everything, into `buckets` buckets or as many as its rows need. Later loads look
+    for their keys in the buckets where these belong, reading key columns alone, rewrite only the buckets that
+    hold a match, append the rest and let the table grow. A load that broke off may be repeated.
     """
-    schema = T.StructType([*source.schema.fields, T.StructField(BUCKET, T.IntegerType())])
-    if not table_exists(spark, path):
-        _write_buckets(_bucketed(source, keys, buckets), path, "overwrite")
-        return
+    bucket_rows = bucket_rows or BUCKET_ROWS
     source = materialize(source)
-    homes = rows_with_keys_of(read_table(spark, path, schema).select(*keys, BUCKET), source, keys)
-    homes = materialize(homes)
-    _write_buckets(_bucketed(source.join(homes, keys, "left_anti"), keys, buckets), path, "append")
-    # At most as many values as there are buckets: partition numbers, not rows.
-    touched = [row[0] for row in homes.select(BUCKET).distinct().collect()]
+    state = table_state(spark, path)
+    if state is None:
+        rows = source.count()
+        buckets = max(buckets, -(-rows // bucket_rows))
+        _write_buckets(source.withColumn(BUCKET, bucket_of(keys, buckets)), path, "overwrite", "static")
+        _record(spark, path, TableState(0, 0, buckets, rows))
+        return {"inserted": rows, "updated": 0}
+    state = _finish(spark, path, state, source.schema)
+    folder, schema = _folder(path, state.version), _with_bucket(source.schema)
+    placed = source.withColumn(BUCKET, bucket_of(keys, state.buckets))
+    hit = [row[0] for row in placed.select(BUCKET).distinct().collect()]  # at most as many as there are buckets
+    held = read_table(spark, folder, schema).filter(F.col(BUCKET).isin(hit))
+    known = materialize(rows_with_keys_of(held.select(*keys, BUCKET), source, keys))
+    touched = {row[BUCKET]: row["count"] for row in known.groupBy(BUCKET).count().collect()}
+    new = source.count() - sum(touched.values())  # a repeated load finds its own rows and inserts none
+    _write_buckets(placed.join(known, keys, "left_anti"), folder, "append")
+    state = _record(spark, path, replace(state, rows=state.rows + new))
     if touched:
-        matched = source.join(homes, keys).select(*source.columns, BUCKET)
-        held = read_table(spark, path, schema).filter(F.col(BUCKET).isin(touched))
-        _write_buckets(merge_upsert(held, matched, keys), path, "overwrite")
+        rows = read_table(spark, folder, schema).filter(F.col(BUCKET).isin(*touched))
+        matched = placed.join(known.select(*keys), keys, "left_semi")
+        state = _swap(spark, path, state, merge_upsert(rows, matched, keys), sorted(touched))
+    grow_table(spark, path, source.schema, keys, bucket_rows, state)
+    return {"inserted": new, "updated": sum(touched.values())}
+
+
+def grow_table(
+    spark: SparkSession, path: str, schema: T.StructType, keys: list[str], bucket_rows: int | None = None, state: TableState | None = None
+) -> None:
+    """Split buckets in turn until they hold no more than `bucket_rows` rows in the mean; a round splits each once at most."""
+    state = _finish(spark, path, state or table_state(spark, path), schema)
+    target = -(-state.rows // (bucket_rows or BUCKET_ROWS))
+    while state.buckets < target:
+        grown = min(target, 1 << state.buckets.bit_length())
+        split = _split_sources(state.buckets, grown)
+        rows = read_table(spark, _folder(path, state.version), _with_bucket(schema)).filter(F.col(BUCKET).isin(split))
+        moved = rows.withColumn(BUCKET, bucket_of(keys, grown))
+        state = _swap(spark, path, replace(state, buckets=grown), moved, split)
+
+
+def _split_sources(before: int, after: int) -> list[int]:
+    """The buckets whose rows are placed anew when `before` buckets become `after`, the new ones included."""
+    half = (1 << (after - 1).bit_length()) // 2
+    new = range(before, after)
+    return sorted({n - half for n in new} | set(new))
 
 
 def replace_table(spark: SparkSession, path: str, rows: DataFrame, keys: list[str], buckets: int = 64) -> None:
-    """Overwrite a keyed table with rows derived from itself.
+    """Put other rows, which may be derived from the table itself, in place of a keyed table.
 
-    The rows are staged beside the table first: nothing is deleted before they are safe.
+    They are written to a folder of their own, and the table is that folder from the moment its record
+    says so: whenever this stops, the table is the old one or the new one. The folder before is kept for readers
+    that are under way; `expire_versions` removes those.
     """
-    staging = path.rstrip("/") + "__staging"
-    rows.write.mode("overwrite").parquet(staging)
-    staged = _bucketed(spark.read.parquet(staging), keys, buckets)
-    staged.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).option(
-        "partitionOverwriteMode", "static"
-    ).parquet(path)
+    old = table_state(spark, path) or TableState(0, 0, buckets, 0)
+    folder, schema = _folder(path, old.version + 1), rows.schema
+    _write_buckets(rows.withColumn(BUCKET, bucket_of(keys, old.buckets)), folder, "overwrite", "static")
+    held = read_table(spark, folder, _with_bucket(schema)).count()  # from the files' footers
+    _record(spark, path, TableState(old.seq, old.version + 1, old.buckets, held))
+
+
+def _delete(spark: SparkSession, folders: list[str]) -> list[str]:
+    """Remove folders; those that were there are given out."""
+    gone = []
+    for folder in folders:
+        place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        if place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True):
+            gone.append(folder)
+    return gone
+
+
+def expire_versions(spark: SparkSession, path: str) -> list[str]:
+    """Remove the folders of all versions before the current one; they are given out."""
+    state = table_state(spark, path)
+    return _delete(spark, [_folder(path, version) for version in range(state.version if state else 0)])
