@@ -48,6 +48,16 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+ORACLES["op8_exact_dedup"] = r"""
+WITH n AS (
+  SELECT doc_id, length(coalesce(text, '')) AS chars, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm FROM documents
+)
+SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size,
+       first_value(doc_id) OVER w = doc_id AS kept, sha256(norm) AS text_sha256
+FROM n WINDOW w AS (PARTITION BY norm ORDER BY chars DESC, doc_id)
+"""
+
+
 @query
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from vacancia.llm.line_dedup import dedup_lines
