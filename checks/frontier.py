@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from checks import sql as Q
 from checks.postings import raw_postings
-from checks.registry import check, table
+from checks.registry import check, scratch, table
 from vacancia import fixed_values as V
 from vacancia.context import spread
 from vacancia.functions.arrays import first_nonempty, join_list, kv_map
@@ -17,7 +17,8 @@ from vacancia.functions.ids import slug_id
 from vacancia.functions.urls import absolute_url, host_is, host_of, normalize_url
 from vacancia.operators import extract as X
 from vacancia.operators import frontier as R
-from vacancia.sources.landing import rebuild_checkpoint
+from vacancia.sources.json_export import write_checkpoint
+from vacancia.sources.landing import read_checkpoint, rebuild_checkpoint
 
 BASE = "https://host.example"
 STAMP = "2030-01-02 03:04:05"
@@ -80,6 +81,14 @@ def _(spark, sf_dir):
     return rebuild_checkpoint(table(spark, sf_dir, "pages"), stored)
 
 
+@check("a6_write_checkpoint", "SELECT DISTINCT url || ' \"' || CAST(page_id % 7 AS STRING) AS url FROM pages WHERE url <> ''")
+def _(spark, sf_dir):
+    """A set of URLs written as a checkpoint and read again."""
+    path = scratch(spark)
+    write_checkpoint(table(spark, sf_dir, "pages").selectExpr("url || ' \"' || page_id % 7 AS url"), path)
+    return read_checkpoint(spark, path)
+
+
 @check(
     "b1_extract_locs",
     """SELECT page_id, CAST(i AS INT) AS pos, CASE i WHEN 0 THEN url ELSE 'https://host/?a=' || CAST(page_id AS STRING) || '&b=<' END AS url

@@ -115,6 +115,17 @@ def test_checkpoint_round(spark, tmp_path):
     assert [r["url"] for r in L.rebuild_checkpoint(stored, stored).collect()] == ["a", "b"]
 
 
+def test_checkpoint_is_a_sorted_list(spark, tmp_path):
+    path, urls = str(tmp_path / "known"), ["https://h/ا", 'https://h/"q"', "https://h/a\\b", "a", "a", "", None]
+    J.write_checkpoint(spark.createDataFrame([(u,) for u in urls], "url string").repartition(3), path)
+    parts = sorted(str(p) for p in (tmp_path / "known").glob("part-*"))
+    kept = sorted({u for u in urls if u})
+    assert json.loads("".join(open(p, encoding="utf8").read() for p in parts)) == kept
+    assert sorted(r["url"] for r in L.read_checkpoint(spark, path).collect()) == kept
+    J.write_checkpoint(spark.createDataFrame([], "url string"), path)
+    assert L.read_checkpoint(spark, path).count() == 0
+
+
 def test_batch_rerun_replaces_only_itself(spark, tmp_path, landing):
     path = str(tmp_path / "bronze")
     other = RunContext.create("2026-09-21", "b2")

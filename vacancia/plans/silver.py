@@ -100,12 +100,16 @@ def silver_batch(bronze: DataFrame, now: str) -> tuple[DataFrame, DataFrame]:
 
 def load_silver(
     spark: SparkSession, bronze: str, silver: str, rejected: str, ctx: RunContext, buckets: int = 64
-) -> None:
-    """One Bronze batch into Silver: rejects kept, rows upserted. May be repeated."""
+) -> dict[str, int]:
+    """One Bronze batch into Silver: rejects kept, rows upserted. May be repeated.
+
+    Gives out how many rows were inserted, updated and rejected, without a second run over the batch.
+    """
     batch = require_rows(read_batch(read_table(spark, bronze, S.BRONZE), ctx), f"batch {ctx.batch_id}")
     rows, rejects = silver_batch(batch, ctx.now)
     append_once(rejects, rejected, ctx)
-    upsert_table(spark, silver, rows, ["job_id"], buckets)
+    counts = upsert_table(spark, silver, rows, ["job_id"], buckets)
+    return {**counts, "rejected": read_batch(read_table(spark, rejected, S.REJECTED), ctx).count()}  # by file footers
 
 
 def load_pending(
