@@ -37,16 +37,17 @@ def test_buckets_are_split_in_turn(spark):
 def test_growth_follows_the_rows(spark, tmp_path):
     path = str(tmp_path / "t")
     assert B.upsert_table(spark, path, rows(spark, range(50), "a"), ["job_id"], 2, 20) == {"inserted": 50, "updated": 0}
-    assert B.table_state(spark, path).buckets == 3
+    assert B.table_state(spark, path).buckets == 3 and len(held(spark, path)) == 50
     assert B.upsert_table(spark, path, rows(spark, range(40, 230), "b"), ["job_id"], 2, 20) == {"inserted": 180, "updated": 10}
     state = B.table_state(spark, path)
     assert (state.buckets, state.rows, state.staged) == (12, 230, None)
     assert held(spark, path) == [(k, "a" if k < 40 else "b") for k in range(230)]
-    stored = spark.read.parquet(path)
+    folder = B._folder(path, state.version)
+    stored = spark.read.parquet(folder)
     assert stored.filter(F.col(B.BUCKET) != B.bucket_of(["job_id"], 12)).count() == 0
-    before = files(path)
+    before = files(folder)
     B.upsert_table(spark, path, rows(spark, [7], "c"), ["job_id"], 2, 20)
-    gone = {b for f, b in before.items() if f not in files(path)}
+    gone = {b for f, b in before.items() if f not in files(folder)}
     assert len(gone) == 1  # of twelve
 
 

@@ -224,14 +224,11 @@ def upsert_table(
     hold a match, append the rest and let the table grow. A load that broke off may be repeated.
     """
     bucket_rows = bucket_rows or BUCKET_ROWS
-    source = materialize(source)
     state = table_state(spark, path)
     if state is None:
-        rows = source.count()
-        buckets = max(buckets, -(-rows // bucket_rows))
-        _write_buckets(source.withColumn(BUCKET, bucket_of(keys, buckets)), path, "overwrite", "static")
-        _record(spark, path, TableState(0, 0, buckets, rows))
+        rows = _first_load(spark, path, source, keys, buckets, bucket_rows)
         return {"inserted": rows, "updated": 0}
+    source = materialize(source)
     state = _finish(spark, path, state, source.schema)
     folder, schema = _folder(path, state.version), _with_bucket(source.schema)
     placed = source.withColumn(BUCKET, bucket_of(keys, state.buckets))
@@ -250,6 +247,18 @@ def upsert_table(
     return {"inserted": new, "updated": sum(touched.values())}
 
 
+def _first_load(spark: SparkSession, path: str, source: DataFrame, keys: list[str], buckets: int, bucket_rows: int) -> int:
+    """Write all rows. If they prove too many for the buckets, they are laid out once more, as the next version."""
+    _write_buckets(source.withColumn(BUCKET, bucket_of(keys, buckets)), path, "overwrite", "static")
+    held, version = read_table(spark, path, _with_bucket(source.schema)), 0
+    rows = held.count()  # from the files' footers
+    if rows > buckets * bucket_rows:
+        buckets, version = -(-rows // bucket_rows), 1
+        _write_buckets(held.withColumn(BUCKET, bucket_of(keys, buckets)), _folder(path, version), "overwrite", "static")
+    _record(spark, path, TableState(0, version, buckets, rows))
+    return rows
+
+
 def grow_table(
     spark: SparkSession, path: str, schema: T.StructType, keys: list[str], bucket_rows: int | None = None, state: TableState | None = None
 ) -> None:
