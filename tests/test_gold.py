@@ -8,7 +8,7 @@ from vacancia import schemas as S
 from vacancia.context import materialize
 from vacancia.operators import dims as D
 from vacancia.operators import quality as H
-from vacancia.operators.keys import assign_keys
+from vacancia.operators.keys import assign_keys, assign_keys_apart, assign_keys_by
 from vacancia.operators.merge import merge_upsert
 from vacancia.plans import gold as G
 from vacancia.plans.silver import silver_batch
@@ -98,6 +98,47 @@ def test_keys_over_many_tasks(spark):
     assert keyed.filter(F.col("k") != F.col("id") + 1).count() == 0 and keyed.count() == 50000
 
 
+def test_keys_of_groups_by_one_sort(spark):
+    df = spark.range(0, 30000, 1, 16).select(
+        F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("g"), ((F.col("id") * 7919) % 30000).alias("v")
+    )
+    keyed = assign_keys_by(df, "g", ["v"], "k", {"a": 5, "none": 9, "b": 100})
+    for group, start in (("a", 5), ("b", 100)):
+        rows = [(r.k, r.v) for r in keyed.filter(F.col("g") == group).orderBy("v").collect()]
+        assert [k for k, _ in rows] == list(range(start + 1, start + 1 + len(rows))) and len(rows) >= 10000
+    assert assign_keys_by(df.limit(0), "g", ["v"], "k", {"a": 0}).count() == 0
+
+
+def test_keys_apart_from_wide_rows(spark):
+    """Nulls and repeated keys get one number each; the rows themselves are neither sorted nor stored again."""
+    rows = [(3, None, "x"), (1, "b", "y"), (2, "b", "z"), (0, "a", None)]
+    df = materialize(spark.createDataFrame(rows, "r long, p string, body string"))
+    keyed = assign_keys_apart(df, "r", ["p"], "k", 10)
+    assert sorted(keyed.collect()) == [(11, None, "x"), (12, "a", None), (13, "b", "y"), (14, "b", "z")]
+    assert keyed.columns == ["k", "p", "body"]
+    assert assign_keys_apart(df.limit(0), "r", ["p"], "k").count() == 0
+
+
+def test_members_of_all_dimensions_in_one_pass(spark, silver):
+    odd = silver.limit(3).withColumns({c: F.lit(None).cast("string") for c in ("company_name", "city", "posted_date", "source")})
+    rows = D.prepare(silver.unionByName(odd), "collected_at")
+    found = materialize(D.all_members(rows, "collected_at"))
+    expected = {
+        "source": D.dim_members(rows.select(F.col("source").alias("source_name")), ["source_name"]),
+        "company": D.company_members(rows),
+        "location": D.dim_members(rows, ["country", "city"], keep_null=True),
+        "job": D.dim_members(rows, S.JOB_ATTRIBUTES, keep_null=True),
+        "date": rows.select(F.col("posted_date").try_cast("date").alias("day")).dropna().distinct(),
+    }
+    for name, want in expected.items():
+        got = found.filter(F.col("dimension") == name).select(*want.columns)
+        assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+    assert found.agg(F.max("stamp")).first()[0] == silver.agg(F.max("collected_at")).first()[0]
+    plan = D.all_members(rows, "collected_at")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Expand") == 1
+    assert D.all_members(rows.limit(0), "collected_at").count() == 0
+
+
 def test_large_dimension_is_not_broadcast(spark):
     df = spark.range(1000).select("id", F.repeat(F.lit("x"), F.lit(100)).alias("t"))
     small, large = (D.broadcast_small({"d": df}, limit)["d"] for limit in (1 << 20, 1 << 10))

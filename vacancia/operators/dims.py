@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from vacancia import fixed_values as V
 from vacancia.functions.arrays import split_skills
 from vacancia.functions.dates import date_key
-from vacancia.operators.keys import assign_keys, next_start
+from vacancia.operators.keys import assign_keys, assign_keys_apart, assign_keys_by, next_start
 from vacancia.operators.merge import merge_upsert, missing_from, rows_with_keys_of
 from vacancia.schemas import JOB_ATTRIBUTES
 
@@ -53,8 +53,8 @@ def col_or_default(df: DataFrame, name: str, default: str | None = V.NOT_AVAILAB
     return F.coalesce(F.col(name).try_cast(cast), fill) if name in df.columns else fill
 
 
-def prepare(silver: DataFrame) -> DataFrame:
-    """Silver rows with the optional columns the star schema knows."""
+def prepare(silver: DataFrame, *others: str) -> DataFrame:
+    """Silver rows with the optional columns the star schema knows, and others if named."""
     return silver.select(
         "job_id", "source", "job_title", "company_name", "job_url", "country", "city", "work_mode",
         "employment_type", "qualification_required", "skills",
@@ -66,6 +66,7 @@ def prepare(silver: DataFrame) -> DataFrame:
         F.col("salary").cast("string").alias("salary"),
         F.col("estimated_salary").cast("string").alias("estimated_salary"),
         "posted_date",
+        *others,
     )
 
 
@@ -100,6 +101,67 @@ def extend_dim(
     return dim.unionByName(new_members(dim, members, natural, key, null_safe))
 
 
+# Dimensions with a surrogate key: natural key in the dimension -> column of the prepared rows.
+NATURAL = {
+    "source": {"source_name": "source"},
+    "company": {"company_name": "company_name"},
+    "location": {"country": "country", "city": "city"},
+    "job": {c: c for c in JOB_ATTRIBUTES},
+}
+# Their natural keys may hold nulls, which are values like others.
+NULL_SAFE = {"location", "job"}
+_NATURAL_COLUMNS = [c for pairs in NATURAL.values() for c in pairs]
+
+
+def all_members(prepared: DataFrame, stamp: str) -> DataFrame:
+    """Members of all dimensions but skills, and days, from one pass over the rows and one shuffle.
+
+    One row per member: the `dimension`, its natural key (columns of other dimensions are null), one
+    of a company's industries, the `day`, and the highest stamp. Grouping sets count each
+    row once per dimension, and equal members are combined before the shuffle.
+    """
+    columns = [F.col(c).alias(n) for pairs in NATURAL.values() for n, c in pairs.items()]
+    rows = prepared.select(*columns, F.col("posted_date").try_cast("date").alias("day"), "industry", stamp)
+    sets = {name: list(pairs) for name, pairs in NATURAL.items()} | {"date": ["day"]}
+    grouped = [*_NATURAL_COLUMNS, "day"]
+    found = rows.groupingSets([[F.col(c) for c in cols] for cols in sets.values()], *[F.col(c) for c in grouped]).agg(
+        F.grouping_id().alias("_set"), F.min("industry").alias("industry"), F.max(stamp).alias("stamp")
+    )
+    name, held = F.lit(None).cast("string"), F.lit(False)
+    for dimension, cols in sets.items():
+        # A bit is set for each column that the grouping set leaves out, the first column highest.
+        bits = sum(1 << (len(grouped) - 1 - i) for i, c in enumerate(grouped) if c not in cols)
+        here = F.col("_set") == bits
+        name = F.when(here, dimension).otherwise(name)
+        filled = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
+        held = held | (here if dimension in NULL_SAFE else here & filled)
+    return found.filter(held).select(name.alias("dimension"), *grouped, "industry", "stamp")
+
+
+def new_keyed(members: DataFrame, dims: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """New members of each dimension with the next free keys, all numbered by one sort.
+
+    `members` is read once per dimension, so it should be materialized.
+    """
+    fresh = [
+        missing_from(members.filter(F.col("dimension") == name), dims[name], list(pairs), name in NULL_SAFE)
+        for name, pairs in NATURAL.items()
+    ]
+    highest = [
+        dims[name].agg(F.max(f"{name}_key").alias("top")).select(F.lit(name).alias("name"), "top") for name in NATURAL
+    ]
+    starts = {row["name"]: row["top"] or 0 for row in reduce(DataFrame.unionByName, highest).collect()}
+    keyed = assign_keys_by(reduce(DataFrame.unionByName, fresh), "dimension", _NATURAL_COLUMNS, "_key", starts)
+
+    def columns(name: str) -> list[Column]:
+        return [
+            F.col("_key" if f.name == f"{name}_key" else f.name).cast(f.dataType).alias(f.name)
+            for f in dims[name].schema.fields
+        ]
+
+    return {name: keyed.filter(F.col("dimension") == name).select(*columns(name)) for name in NATURAL}
+
+
 def company_members(df: DataFrame) -> DataFrame:
     """Distinct companies with one of their industries, where the source has any."""
     return df.filter(F.col("company_name").isNotNull()).groupBy("company_name").agg(
@@ -189,9 +251,9 @@ def new_facts(candidates: DataFrame, fact: DataFrame) -> DataFrame:
     return candidates.join(known, FACT_KEY, "left_anti").select(*candidates.columns)
 
 
-def to_fact(new: DataFrame, start: int = 0) -> DataFrame:
-    """Fact rows with their own key; `skills` rides along for the bridge."""
-    return assign_keys(new, FACT_KEY, "job_posting_key", start).select(
+def to_fact(new: DataFrame, row: str, start: int = 0) -> DataFrame:
+    """Fact rows with their own key; `skills` rides along for the bridge. `row` numbers the given rows."""
+    return assign_keys_apart(new, row, FACT_KEY, "job_posting_key", start).select(
         "job_posting_key", "job_key", "job_id", "unified_job_id", "company_key", "location_key",
         "source_key", "posted_date_key", F.lit(None).cast("int").alias("source_job_key"),
         "job_url", "salary", F.col("estimated_salary").alias("AI_salary"), "skills",

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from vacancia import fixed_values as V
 from vacancia import schemas as S
-from vacancia.context import materialize, together
+from vacancia.context import materialize
 from vacancia.operators import dims as D
 from vacancia.operators.keys import next_start
 from vacancia.operators.merge import missing_from, rows_with_keys_of
@@ -30,6 +30,8 @@ SCHEMAS = {
 LOAD_ID = "_load_id"
 FACT_STORED = T.StructType([*S.FACT.fields, T.StructField(LOAD_ID, T.StringType())])
 WATERMARK_STORED = T.StructType([*S.WATERMARK.fields, T.StructField(LOAD_ID, T.StringType())])
+# Numbers the candidates of one load.
+ROW = "_row"
 
 
 @dataclass(frozen=True)
@@ -61,35 +63,19 @@ def empty_gold(spark: SparkSession) -> Gold:
     )
 
 
-def dim_increments(prepared: DataFrame, dims: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """New members of every dimension but skills. The dimensions do not depend on each other."""
-    sources = D.dim_members(prepared.select(F.col("source").alias("source_name")), ["source_name"])
-    companies = D.company_members(prepared)
-    places = D.dim_members(prepared, ["country", "city"], keep_null=True)
-    jobs = D.dim_members(prepared, S.JOB_ATTRIBUTES, keep_null=True)
-
-    def members(name: str, found: DataFrame, natural: list[str], null_safe: bool = False):
-        return lambda: D.new_members(dims[name], found, natural, f"{name}_key", null_safe)
-
-    added = together(
-        prepared.sparkSession,
-        {
-            "source": members("source", sources, ["source_name"]),
-            "company": members("company", companies, ["company_name"]),
-            "location": members("location", places, ["country", "city"], null_safe=True),
-            "job": members("job", jobs, S.JOB_ATTRIBUTES, null_safe=True),
-        },
-    )
-    days = D.dim_date(prepared, "posted_date")
-    return {**added, "date": missing_from(days, dims["date"], ["date_key"])}
+def dim_increments(members: DataFrame, dims: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """New members of every dimension but skills."""
+    days = D.dim_date(members.filter(F.col("dimension") == "date"), "day")
+    return {**D.new_keyed(members, dims), "date": missing_from(days, dims["date"], ["date_key"])}
 
 
 def changed_rows(
     silver: DataFrame, gold: Gold, pipeline: str, lookback: timedelta = timedelta(0)
-) -> tuple[DataFrame, str | None]:
-    """Prepared Silver rows stamped after the watermark less the lookback, and their highest stamp."""
+) -> tuple[DataFrame, DataFrame, str | None]:
+    """Silver rows stamped after the watermark less the lookback, prepared; their members; their highest stamp."""
     changes = D.since(silver, "collected_at", D.read_watermark(gold.watermark, pipeline), lookback)
-    return D.prepare(changes), changes.agg(F.max("collected_at")).first()[0]
+    members = materialize(D.all_members(D.prepare(changes, "collected_at"), "collected_at"))
+    return D.prepare(changes), members, members.agg(F.max("stamp")).first()[0]
 
 
 def fact_increment(prepared: DataFrame, gold: Gold, stamp: str, pipeline: str) -> Increment:
@@ -99,11 +85,12 @@ def fact_increment(prepared: DataFrame, gold: Gold, stamp: str, pipeline: str) -
     linked now.
     """
     load_id = uuid.uuid4().hex
-    candidates = materialize(D.resolve_keys(prepared, gold.dims))
+    candidates = D.resolve_keys(prepared, gold.dims)
+    candidates = materialize(candidates.withColumn(ROW, F.monotonically_increasing_id()))
     stored = gold.fact.select("job_posting_key", *D.FACT_KEY, LOAD_ID)
     known = materialize(rows_with_keys_of(stored, candidates, D.FACT_KEY))
     new = candidates.join(known, D.FACT_KEY, "left_anti").select(*candidates.columns)
-    keyed = D.to_fact(new, next_start(gold.fact, "job_posting_key"))
+    keyed = D.to_fact(new, ROW, next_start(gold.fact, "job_posting_key"))
 
     finished = gold.watermark.select(LOAD_ID).distinct()
     unlinked = known.join(finished, LOAD_ID, "left_anti").join(candidates, D.FACT_KEY)
@@ -127,10 +114,10 @@ def with_dims(gold: Gold, added: dict[str, DataFrame]) -> Gold:
 
 def load_increment(silver: DataFrame, gold: Gold, pipeline: str = V.PIPELINE_NAME) -> Gold:
     """The star schema with the new rows of Silver added, nothing stored."""
-    prepared, stamp = changed_rows(silver, gold, pipeline)
+    prepared, members, stamp = changed_rows(silver, gold, pipeline)
     if stamp is None:
         return gold
-    gold = with_dims(gold, dim_increments(prepared, gold.dims))
+    gold = with_dims(gold, dim_increments(members, gold.dims))
     inc = fact_increment(prepared, gold, stamp, pipeline)
     gold = with_dims(gold, inc.dims)
     return replace(
@@ -162,10 +149,10 @@ def load_gold(
     """
     spark = silver.sparkSession
     gold = read_gold(spark, folder)
-    prepared, stamp = changed_rows(silver, gold, pipeline, lookback)
+    prepared, members, stamp = changed_rows(silver, gold, pipeline, lookback)
     if stamp is None:
         return gold
-    for name, rows in dim_increments(prepared, gold.dims).items():
+    for name, rows in dim_increments(members, gold.dims).items():
         rows.write.mode("append").parquet(f"{folder}/dim_{name}")
     gold = read_gold(spark, folder)
     inc = fact_increment(prepared, gold, stamp, pipeline)
