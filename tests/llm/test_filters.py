@@ -1,6 +1,8 @@
 """Quality, line dedup, archives, URL lists, the pipeline, and the SQL twins."""
 
+import gzip
 import hashlib
+import re
 from collections import Counter
 from datetime import date
 
@@ -71,11 +73,50 @@ def test_archive(spark):
     assert got == sorted(want, key=repr)
     assert spark.read.parquet(f"{folder}/payloads").count() == 4
     whole = {r.page_id: bytes(r.record) for r in warc.record_bytes(records).collect()}
+    date = re.search(rb"WARC-Date: (\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ)\r\n", whole[6]).group(1)
+    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
     assert whole[6] == (
-        b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:6>\r\nWARC-Target-URI: a%0D%0Ab\r\n"
-        b"WARC-Payload-Digest: sha256:" + hashlib.sha256(b"short").hexdigest().encode() + b"\r\nContent-Length: 5\r\n\r\nshort\r\n\r\n"
+        b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:6>\r\nWARC-Date: " + date + b"\r\nWARC-Target-URI: a%0D%0Ab\r\n"
+        b"WARC-Payload-Digest: sha256:" + hashlib.sha256(b"short").hexdigest().encode() + b"\r\nContent-Type: application/http; msgtype=response\r\n"
+        b"Content-Length: " + str(len(http) + 5).encode() + b"\r\n\r\n" + http + b"short\r\n\r\n"
     )
+    assert whole[3].endswith(b"\r\n\r\n" + http + b"\r\n\r\n") and b"xxx" not in whole[3]
+    assert b"WARC-Refers-To: <urn:page:1>\r\nWARC-Profile: http" in whole[3] and b"WARC-Target-URI: urn:page:5\r\n" in whole[5]
     assert warc.describe(warc.read_archive(spark, warc.write_archive(pages.limit(0)))).count() == 0
+    dated = pages.withColumn("at", F.expr("if(page_id = 7, timestamp'2024-02-03 04:05:06', null)"))
+    heads = {r.page_id: r.header for r in warc.read_archive(spark, warc.write_archive(dated, date="at")).collect()}
+    assert "WARC-Date: 2024-02-03T04:05:06Z\r\n" in heads[7] and "WARC-Date: 20" in heads[8]
+
+
+@pytest.mark.parametrize("file_bytes", [1, 1 << 30])
+def test_archive_files(spark, file_bytes):
+    """Files of gzip members: read as plain streams they are the records, and the index finds each one."""
+    copy = "ä\r\n\r\nWARC/1.1\r\n" * 20
+    rows = [(i, f"http://h/{i}", copy) for i in range(30)] + [(40, None, None), (41, "", "x"), (None, "u", copy), (42, "u", "long " * 100_000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "77")
+    records = warc.read_archive(spark, warc.write_archive(pages))
+    index = warc.write_warc(records, file_bytes)
+    back = warc.read_warc(index)
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "77"
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    as_rows = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    # The archive's time of writing is in the headers, so both sides are of one archive.
+    assert as_rows(back) == as_rows(records) and back.count() == len(rows)
+    placed = index.collect()
+    paths = {r.path for r in placed}
+    assert len(paths) == len(rows) if file_bytes == 1 else len(paths) < len(rows)
+    plain = b"".join(gzip.open(p.removeprefix("file:")).read() for p in sorted(paths))
+    assert sorted(plain.split(b"WARC/1.1\r\nWARC-Type")[1:]) == sorted(
+        bytes(r.record).removeprefix(b"WARC/1.1\r\nWARC-Type") for r in warc.record_bytes(records).collect()
+    )
+    assert warc.read_warc(warc.write_warc(records.limit(0))).count() == 0
+    first = next(r for r in placed if r.page_id == 0)
+    with open(first.path.removeprefix("file:"), "r+b") as file:
+        file.seek(first.offset + first.length - 12)
+        file.write(b"damaged")
+    with pytest.raises(Exception, match="CRC|damaged|decompress|Error"):
+        warc.read_warc(index).collect()
 
 
 def test_url_lists(spark):

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,3 +59,15 @@ def texts(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(
         F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("body")
     )
+
+
+@contextmanager
+def arrow_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """So many rows to an Arrow batch in the jobs run inside; the caller's setting comes back afterwards."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

@@ -98,9 +98,10 @@ FROM kept
 
 @query
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from vacancia.llm.warc import describe, read_archive, write_archive
+    from vacancia.llm.warc import describe, read_archive, read_warc, write_archive, write_warc
 
-    return describe(read_archive(spark, write_archive(table(spark, sf_dir, "pages"))))
+    records = read_archive(spark, write_archive(table(spark, sf_dir, "pages")))
+    return describe(read_warc(write_warc(records)))
 
 
 ORACLES["op6_warc"] = """

@@ -1,4 +1,4 @@
-"""A content-addressed WARC archive: payloads once, exact record headers apart.
+"""A content-addressed WARC archive: payloads once, exact record headers apart, and the files made of them.
 
 `payloads` holds each distinct payload under its SHA-256; `headers` holds every record's header text
 and the digest. Reading joins the two, rebuilds each record byte for byte, and checks the digest.
@@ -6,21 +6,41 @@ A digest counts as verified if all payloads under it also agree in length and MD
 fails. Equal payloads are combined on the map side before they are shuffled, and hot payloads are
 rows of a join that adaptive execution splits.
 
+`write_warc` writes the records as WARC files, each record a gzip member, with an index of offsets;
+`read_warc` reads them back by that index and gives revisits the payload of the response they refer to.
+The block of a response is a short HTTP head, as the pages carry none of their own, and the payload;
+that of a revisit is the head alone. Files are closed at `FILE_BYTES`. A task that is run again writes
+files under other names, and only those of the attempt that ended stand in the index.
+
 Of records with equal payloads of at least `REVISIT_BYTES`, the one with the smallest key is the
 response and the others revisit it; shorter payloads are responses all. Null html is an empty
 payload. Rows that repeat key and payload are the same record and have the same type; a row without
-key revisits a known one, and is a response if there is none. Line ends in a URL are escaped.
+key revisits a known one, and is a response if there is none. Line ends in a URL are escaped; a page
+without URL has its record's name for one. A record without a date bears that of the writing.
 """
 
 from __future__ import annotations
 
+import gzip
+import uuid
+from datetime import datetime, timezone
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacancia.llm.common import new_folder
+from vacancia.llm.common import arrow_batches, new_folder, stored
+from vacancia.llm.token_files import open_folder
 
 REVISIT_BYTES = 100
+FILE_BYTES = 1 << 30
+#: Records of an Arrow batch: bounds what a Python worker holds of long pages.
+BATCH_RECORDS = 200
 END = "\r\n"
+#: Fixed values of the format.
+VERSION = "WARC/1.1"
+PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+HTTP_HEAD = f"HTTP/1.1 200 OK{END}Content-Type: text/html; charset=utf-8{END}{END}"
 
 
 def _escaped(url: Column) -> Column:
@@ -28,31 +48,40 @@ def _escaped(url: Column) -> Column:
 
 
 def _name(key: Column) -> Column:
-    return F.concat(F.lit("<urn:page:"), F.coalesce(key.cast("string"), F.lit("unknown")), F.lit(">"))
+    return F.concat(F.lit("urn:page:"), F.coalesce(key.cast("string"), F.lit("unknown")))
 
 
 def _header(revisit: Column) -> Column:
-    def line(name: str, value: Column) -> Column:
-        return F.concat(F.lit(f"{name}: "), value, F.lit(END))
+    def line(name: str, value: Column | str) -> Column:
+        return F.concat(F.lit(f"{name}: "), F.lit(value) if isinstance(value, str) else value, F.lit(END))
 
+    named = lambda key: F.concat(F.lit("<"), _name(F.col(key)), F.lit(">"))
+    url = F.when(F.length("url") > 0, _escaped(F.col("url"))).otherwise(_name(F.col("page_id")))
     return F.concat(
-        F.lit(f"WARC/1.1{END}"),
+        F.lit(f"{VERSION}{END}"),
         line("WARC-Type", F.when(revisit, "revisit").otherwise("response")),
-        line("WARC-Record-ID", _name(F.col("page_id"))),
-        F.when(F.col("url").isNull(), "").otherwise(line("WARC-Target-URI", _escaped(F.col("url")))),
+        line("WARC-Record-ID", named("page_id")),
+        line("WARC-Date", F.col("date")),
+        line("WARC-Target-URI", url),
         line("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("digest"))),
-        F.when(revisit, line("WARC-Refers-To", _name(F.col("owner")))).otherwise(""),
-        line("Content-Length", F.col("bytes").cast("string")),
+        F.when(revisit, F.concat(line("WARC-Refers-To", named("owner")), line("WARC-Profile", PROFILE))).otherwise(""),
+        line("Content-Type", "application/http; msgtype=response"),
+        line("Content-Length", (F.when(revisit, 0).otherwise(F.col("bytes")) + len(HTTP_HEAD)).cast("string")),
         F.lit(END),
     )
 
 
-def write_archive(pages: DataFrame, key: str = "page_id", url: str = "url", body: str = "html") -> str:
-    """Write the archive of a crawl; returns its folder."""
+def write_archive(
+    pages: DataFrame, key: str = "page_id", url: str = "url", body: str = "html", date: str | None = None
+) -> str:
+    """Write the archive of a crawl; returns its folder. `date` names a column with the time of capture."""
     folder = new_folder(pages.sparkSession, "archive")
+    written = F.lit(datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ"))
+    captured = F.date_format(F.col(date), "yyyy-MM-dd'T'HH:mm:ss'Z'") if date else written
     records = pages.select(
         F.col(key).cast("long").alias("page_id"),
         F.col(url).alias("url"),
+        F.coalesce(captured, written).alias("date"),
         F.coalesce(F.col(body), F.lit("")).cast("binary").alias("payload"),
     ).withColumn("digest", F.sha2("payload", 256))
     proof = F.concat_ws(" ", F.octet_length("payload"), F.md5("payload"))
@@ -65,7 +94,7 @@ def write_archive(pages: DataFrame, key: str = "page_id", url: str = "url", body
     stored = stored.select("digest", agreed.alias("payload"), "owner")
     stored.write.option("compression", "zstd").parquet(f"{folder}/payloads")
     owners = pages.sparkSession.read.parquet(f"{folder}/payloads").select("digest", "owner")
-    heads = records.select("page_id", "url", "digest", F.octet_length("payload").alias("bytes")).join(owners, "digest")
+    heads = records.select("page_id", "url", "date", "digest", F.octet_length("payload").alias("bytes")).join(owners, "digest")
     revisit = (F.col("bytes") >= REVISIT_BYTES) & F.col("owner").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("owner"))
     heads = heads.select("page_id", "digest", _header(revisit).alias("header"))
     heads.write.option("compression", "zstd").parquet(f"{folder}/headers")
@@ -84,22 +113,120 @@ def read_archive(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def record_bytes(records: DataFrame) -> DataFrame:
-    """page_id and the record as it stands in a WARC file."""
-    whole = F.concat(F.col("header").cast("binary"), F.col("payload"), F.lit(END + END).cast("binary"))
+    """page_id and the record as it stands in a WARC file; a revisit does not repeat the payload."""
+    payload = F.when(_field("WARC-Type", r"(\w+)") == "revisit", F.lit(b"")).otherwise(F.col("payload"))
+    whole = F.concat(F.col("header").cast("binary"), F.lit(HTTP_HEAD).cast("binary"), payload, F.lit(END + END).cast("binary"))
     return records.select("page_id", whole.alias("record"))
 
 
-def describe(records: DataFrame) -> DataFrame:
-    """What the headers and payloads that were read say of each record."""
+def write_warc(records: DataFrame, file_bytes: int = FILE_BYTES) -> DataFrame:
+    """Write records as `.warc.gz` files; returns the stored index: page_id, path, offset, length of each."""
+    spark = records.sparkSession
+    folder = new_folder(spark, "warc")
+    files, base = open_folder(folder)
+    files.create_dir(base, recursive=True)
+
+    def run(batches):
+        target, path, out, at = open_folder(folder), "", None, 0
+        for batch in batches:
+            rows = []
+            for key, record in zip(batch.column("page_id").to_pylist(), batch.column("record").to_pylist()):
+                if out is None:
+                    path, at = f"{uuid.uuid4().hex}.warc.gz", 0
+                    out = target[0].open_output_stream(f"{target[1]}/{path}", compression=None, buffer_size=1 << 20)
+                member = gzip.compress(record, 1, mtime=0)
+                out.write(member)
+                rows.append({"page_id": key, "path": f"{folder}/{path}", "offset": at, "length": len(member)})
+                at += len(member)
+                if at >= file_bytes:
+                    out.close()
+                    out = None
+            yield pa.RecordBatch.from_pylist(rows, INDEX)
+        if out is not None:
+            out.close()
+
+    with arrow_batches(spark, BATCH_RECORDS):
+        return stored(record_bytes(records).mapInArrow(run, INDEX_SCHEMA), f"{folder}/index")
+
+
+INDEX = pa.schema([("page_id", pa.int64()), ("path", pa.string()), ("offset", pa.int64()), ("length", pa.int64())])
+INDEX_SCHEMA = "page_id long, path string, offset long, length long"
+
+
+def _parts(record: bytes) -> tuple[str, bytes]:
+    """Header and payload of a record; one whose lengths do not fit is damaged."""
+    end = record.index(b"\r\n\r\n") + 4
+    header = record[:end].decode()
+    size = int(header.rpartition("Content-Length: ")[2])
+    block = record[end : end + size]
+    if record[end + size :] != b"\r\n\r\n" or not block.startswith(HTTP_HEAD.encode()):
+        raise ValueError(f"damaged record: {header}")
+    return header, block[len(HTTP_HEAD) :]
+
+
+def read_records(index: DataFrame) -> DataFrame:
+    """page_id, header and payload of every record as it stands in its file; revisits have an empty payload."""
+
+    def run(batches):
+        opened, source, folder = "", None, ("", None)
+        for batch in batches:
+            rows = []
+            for row in batch.to_pylist():
+                if row["path"] != opened:
+                    if source:
+                        source.close()
+                    opened = row["path"]
+                    parent, name = opened.rsplit("/", 1)
+                    if folder[0] != parent:
+                        folder = parent, open_folder(parent)
+                    source = folder[1][0].open_input_file(f"{folder[1][1]}/{name}")
+                header, payload = _parts(gzip.decompress(source.read_at(row["length"], row["offset"])))
+                rows.append({"page_id": row["page_id"], "header": header, "payload": payload})
+            yield pa.RecordBatch.from_pylist(rows, RECORD)
+        if source:
+            source.close()
+
+    placed = index.repartition("path", F.floor(F.col("offset") / F.lit(SPLIT_BYTES))).sortWithinPartitions("path", "offset")
+    return placed.mapInArrow(run, "page_id long, header string, payload binary")
+
+
+RECORD = pa.schema([("page_id", pa.int64()), ("header", pa.string()), ("payload", pa.binary())])
+#: What one task reads of a file in one go; a large file is read by many.
+SPLIT_BYTES = 32 << 20
+
+
+def read_warc(index: DataFrame) -> DataFrame:
+    """page_id, header and whole payload of every record of the files.
+
+    Files are read once and the records stored: responses give the payloads, one per digest, and revisits
+    join them by it. A payload that fails its digest stops the job.
+    """
+    spark = index.sparkSession
+    with arrow_batches(spark, BATCH_RECORDS):
+        records = stored(read_records(index), f"{new_folder(spark, 'records')}/records")
+    records = records.withColumn("digest", _field("WARC-Payload-Digest", r"sha256:(\w+)"))
+    revisit = _field("WARC-Type", r"(\w+)") == "revisit"
+    wanted = records.filter(revisit).select("digest").distinct()
+    given = records.filter(~revisit).join(wanted, "digest", "left_semi").groupBy("digest").agg(F.first("payload").alias("payload"))
+    revisits = records.filter(revisit).drop("payload").join(given, "digest", "left")
+    sound = F.when(F.sha2("payload", 256) == F.col("digest"), F.col("payload")).otherwise(
+        F.raise_error(F.concat(F.lit("damaged or missing payload "), F.col("digest"))).cast("binary")
+    )
+    whole = records.filter(~revisit).unionByName(revisits)
+    return whole.select("page_id", "header", sound.alias("payload"))
+
+
+def _field(name: str, pattern: str) -> Column:
+    return F.regexp_extract("header", rf"\r\n{name}: {pattern}\r\n", 1)
 
-    def field(name: str, pattern: str) -> Column:
-        return F.regexp_extract("header", rf"\r\n{name}: {pattern}\r\n", 1)
 
-    refers = field("WARC-Refers-To", r"<urn:page:(-?\d+)>")
+def describe(records: DataFrame) -> DataFrame:
+    """What the headers and payloads that were read say of each record."""
+    refers = _field("WARC-Refers-To", r"<urn:page:(-?\d+)>")
     return records.select(
         "page_id",
         F.octet_length("payload").cast("long").alias("payload_bytes"),
         F.sha2("payload", 256).alias("payload_digest"),
-        field("WARC-Type", r"(\w+)").alias("record_type"),
+        _field("WARC-Type", r"(\w+)").alias("record_type"),
         F.when(refers != "", refers).cast("long").alias("refers_to"),
     )
