@@ -132,6 +132,16 @@ def test_token_files(spark, docs, texts, reference):
     assert [x.tolist() for x in found if x is not None] == [[*reference.encode_ordinary("one two"), 2]]
 
 
+@pytest.mark.parametrize("key", [None, 7])
+def test_rows_of_one_key_spread_over_files(spark, key):
+    rows = [(key, f"text number {i}") for i in range(400)] + [(1, "first")]
+    manifest = token_files.write(spark.createDataFrame(rows, "doc_id long, text string").repartition(8), LIBRARY, end_id=2)
+    assert manifest.count() > 2 and max(r.documents for r in manifest.collect()) < 200
+    got = token_files.read(spark, manifest).orderBy("start").collect()
+    assert len(got) == 401 and got[0].doc_id == 1 and all(r.doc_id == key for r in got[1:])
+    assert [r.start for r in got[1:]] == np.cumsum([r.n_tokens for r in got])[:-1].tolist()
+
+
 def test_empty_tables(spark, empty):
     assert bpe.round_trip(empty, RANKS).count() == 0
     assert token_files.read(spark, token_files.write(empty, LIBRARY, end_id=2)).count() == 0

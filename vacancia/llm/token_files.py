@@ -103,8 +103,10 @@ def write(docs: DataFrame, tokenizer: str, end_id: int, key: str = "doc_id", tex
             out.close()
             yield pa.RecordBatch.from_pylist([{"part": part, "path": f"{folder}/{path}", "documents": len(index), "ids": total}])
 
-    ordered = texts(docs, key, text).repartitionByRange(shuffle_partitions(spark), F.col("doc_id").asc_nulls_last())
-    ordered = ordered.sortWithinPartitions(F.col("doc_id").asc_nulls_last(), "body")
+    # The text's hash splits the rows of a key that is null or repeated over several ranges.
+    order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("body")]
+    ordered = texts(docs, key, text).repartitionByRange(shuffle_partitions(spark), *order)
+    ordered = ordered.sortWithinPartitions(*order, "body")
     return stored(ordered.mapInArrow(run, "part long, path string, documents long, ids long"), f"{folder}/manifest")
 
 
