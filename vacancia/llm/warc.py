@@ -113,14 +113,27 @@ def read_archive(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def record_bytes(records: DataFrame) -> DataFrame:
-    """page_id and the record as it stands in a WARC file; a revisit does not repeat the payload."""
-    payload = F.when(_field("WARC-Type", r"(\w+)") == "revisit", F.lit(b"")).otherwise(F.col("payload"))
+    """page_id and the record as it stands in a WARC file, its digest, and whether it is a revisit.
+
+    A revisit does not repeat the payload.
+    """
+    revisit = _field("WARC-Type", r"(\w+)") == "revisit"
+    payload = F.when(revisit, F.lit(b"")).otherwise(F.col("payload"))
     whole = F.concat(F.col("header").cast("binary"), F.lit(HTTP_HEAD).cast("binary"), payload, F.lit(END + END).cast("binary"))
-    return records.select("page_id", whole.alias("record"))
+    digest = _field("WARC-Payload-Digest", r"sha256:(\w+)")
+    return records.select("page_id", whole.alias("record"), digest.alias("digest"), revisit.alias("revisit"))
+
+
+INDEX = pa.schema(
+    [("page_id", pa.int64()), ("digest", pa.string()), ("revisit", pa.bool_()),
+     ("path", pa.string()), ("offset", pa.int64()), ("length", pa.int64())]
+)
+INDEX_SCHEMA = "page_id long, digest string, revisit boolean, path string, offset long, length long"
+RECORD = pa.schema([("page_id", pa.int64()), ("header", pa.string()), ("payload", pa.binary())])
 
 
 def write_warc(records: DataFrame, file_bytes: int = FILE_BYTES) -> DataFrame:
-    """Write records as `.warc.gz` files; returns the stored index: page_id, path, offset, length of each."""
+    """Write records as `.warc.gz` files; returns the stored index: where each record stands, and its digest."""
     spark = records.sparkSession
     folder = new_folder(spark, "warc")
     files, base = open_folder(folder)
@@ -130,18 +143,18 @@ def write_warc(records: DataFrame, file_bytes: int = FILE_BYTES) -> DataFrame:
         target, path, out, at = open_folder(folder), "", None, 0
         for batch in batches:
             rows = []
-            for key, record in zip(batch.column("page_id").to_pylist(), batch.column("record").to_pylist()):
+            for row in zip(*(batch.column(c).to_pylist() for c in ("page_id", "digest", "revisit", "record"))):
                 if out is None:
                     path, at = f"{uuid.uuid4().hex}.warc.gz", 0
                     out = target[0].open_output_stream(f"{target[1]}/{path}", compression=None, buffer_size=1 << 20)
-                member = gzip.compress(record, 1, mtime=0)
+                member = gzip.compress(row[3], 1, mtime=0)
                 out.write(member)
-                rows.append({"page_id": key, "path": f"{folder}/{path}", "offset": at, "length": len(member)})
+                rows.append((*row[:3], f"{folder}/{path}", at, len(member)))
                 at += len(member)
                 if at >= file_bytes:
                     out.close()
                     out = None
-            yield pa.RecordBatch.from_pylist(rows, INDEX)
+            yield _batch(rows, INDEX)
         if out is not None:
             out.close()
 
@@ -149,8 +162,9 @@ def write_warc(records: DataFrame, file_bytes: int = FILE_BYTES) -> DataFrame:
         return stored(record_bytes(records).mapInArrow(run, INDEX_SCHEMA), f"{folder}/index")
 
 
-INDEX = pa.schema([("page_id", pa.int64()), ("path", pa.string()), ("offset", pa.int64()), ("length", pa.int64())])
-INDEX_SCHEMA = "page_id long, path string, offset long, length long"
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = list(zip(*rows)) or [()] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
 def _parts(record: bytes) -> tuple[str, bytes]:
@@ -164,56 +178,70 @@ def _parts(record: bytes) -> tuple[str, bytes]:
     return header, block[len(HTTP_HEAD) :]
 
 
-def read_records(index: DataFrame) -> DataFrame:
-    """page_id, header and payload of every record as it stands in its file; revisits have an empty payload."""
+class _Reader:
+    """Reads members of one file after the other; the last member is kept."""
 
-    def run(batches):
-        opened, source, folder = "", None, ("", None)
-        for batch in batches:
-            rows = []
-            for row in batch.to_pylist():
-                if row["path"] != opened:
-                    if source:
-                        source.close()
-                    opened = row["path"]
-                    parent, name = opened.rsplit("/", 1)
-                    if folder[0] != parent:
-                        folder = parent, open_folder(parent)
-                    source = folder[1][0].open_input_file(f"{folder[1][1]}/{name}")
-                header, payload = _parts(gzip.decompress(source.read_at(row["length"], row["offset"])))
-                rows.append({"page_id": row["page_id"], "header": header, "payload": payload})
-            yield pa.RecordBatch.from_pylist(rows, RECORD)
-        if source:
-            source.close()
-
-    placed = index.repartition("path", F.floor(F.col("offset") / F.lit(SPLIT_BYTES))).sortWithinPartitions("path", "offset")
-    return placed.mapInArrow(run, "page_id long, header string, payload binary")
+    def __init__(self):
+        self.path, self.file, self.place, self.parts = None, None, None, None
 
+    def read(self, path: str, offset: int, length: int) -> tuple[str, bytes]:
+        if path != self.path:
+            if self.file:
+                self.file.close()
+            parent, name = path.rsplit("/", 1)
+            files, base = open_folder(parent)
+            self.path, self.file = path, files.open_input_file(f"{base}/{name}")
+        if (path, offset) != self.place:
+            self.parts = _parts(gzip.decompress(self.file.read_at(length, offset)))
+            self.place = (path, offset)
+        return self.parts
 
-RECORD = pa.schema([("page_id", pa.int64()), ("header", pa.string()), ("payload", pa.binary())])
-#: What one task reads of a file in one go; a large file is read by many.
-SPLIT_BYTES = 32 << 20
+
+#: What one task reads, by compressed bytes, and the payloads of one batch.
+SPLIT_BYTES = 64 << 20
+BATCH_BYTES = 16 << 20
 
 
 def read_warc(index: DataFrame) -> DataFrame:
     """page_id, header and whole payload of every record of the files.
 
-    Files are read once and the records stored: responses give the payloads, one per digest, and revisits
-    join them by it. A payload that fails its digest stops the job.
+    The index rows of revisits join those of the responses by digest, and each task then reads the members
+    of its rows and of the responses they revisit: no payload is shuffled. Tasks follow the records' own
+    places, so that the revisits of one hot response are read by many. A payload that is missing or fails its digest stops the job.
     """
-    spark = index.sparkSession
-    with arrow_batches(spark, BATCH_RECORDS):
-        records = stored(read_records(index), f"{new_folder(spark, 'records')}/records")
-    records = records.withColumn("digest", _field("WARC-Payload-Digest", r"sha256:(\w+)"))
-    revisit = _field("WARC-Type", r"(\w+)") == "revisit"
-    wanted = records.filter(revisit).select("digest").distinct()
-    given = records.filter(~revisit).join(wanted, "digest", "left_semi").groupBy("digest").agg(F.first("payload").alias("payload"))
-    revisits = records.filter(revisit).drop("payload").join(given, "digest", "left")
-    sound = F.when(F.sha2("payload", 256) == F.col("digest"), F.col("payload")).otherwise(
-        F.raise_error(F.concat(F.lit("damaged or missing payload "), F.col("digest"))).cast("binary")
+    place = F.struct("path", "offset", "length")
+    given = index.filter(~F.col("revisit")).groupBy("digest").agg(F.min(place).alias("source"))
+    revisits = index.filter("revisit").join(given, "digest", "left")
+    rows = index.filter(~F.col("revisit")).withColumn("source", place).unionByName(revisits).drop("revisit")
+    total = index.agg(F.sum("length")).first()[0] or 0
+    tasks = max(index.sparkSession.sparkContext.defaultParallelism, total // SPLIT_BYTES + 1)
+    block = F.floor(F.col("offset") / F.lit(SPLIT_BYTES // 16))
+    rows = rows.repartition(tasks, "path", block).sortWithinPartitions("path", "source.path", "source.offset", "offset")
+
+    def run(batches):
+        own, other = _Reader(), _Reader()
+        for batch in batches:
+            found, size = [], 0
+            for row in batch.to_pylist():
+                at, source = (row["path"], row["offset"], row["length"]), row["source"]
+                if source is None:
+                    raise ValueError(f"no response for digest {row['digest']}")
+                header, payload = own.read(*at)
+                if (source["path"], source["offset"]) != at[:2]:
+                    payload = other.read(source["path"], source["offset"], source["length"])[1]
+                found.append((row["page_id"], header, payload))
+                size += len(payload)
+                if size >= BATCH_BYTES:
+                    yield _batch(found, RECORD)
+                    found, size = [], 0
+            yield _batch(found, RECORD)
+
+    records = rows.mapInArrow(run, "page_id long, header string, payload binary")
+    digest = _field("WARC-Payload-Digest", r"sha256:(\w+)")
+    sound = F.when(F.sha2("payload", 256) == digest, F.col("payload")).otherwise(
+        F.raise_error(F.concat(F.lit("damaged payload "), digest)).cast("binary")
     )
-    whole = records.filter(~revisit).unionByName(revisits)
-    return whole.select("page_id", "header", sound.alias("payload"))
+    return records.select("page_id", "header", sound.alias("payload"))
 
 
 def _field(name: str, pattern: str) -> Column:
