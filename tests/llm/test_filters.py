@@ -72,7 +72,11 @@ def test_archive(spark):
     want += [(5, 5, "response", None), (6, 5, "response", None), (7, 0, "response", None), (8, 120, "response", None)]
     assert got == sorted(want, key=repr)
     assert spark.read.parquet(f"{folder}/payloads").count() == 4
-    whole = {r.page_id: bytes(r.record) for r in warc.record_bytes(records).collect()}
+    whole = {}
+    for r in [*spark.read.parquet(f"{folder}/payloads").collect(), *spark.read.parquet(f"{folder}/others").collect()]:
+        with open(r.path.removeprefix("file:"), "rb") as file:
+            file.seek(r.offset)
+            whole[r.page_id] = gzip.decompress(file.read(r.length))
     date = re.search(rb"WARC-Date: (\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ)\r\n", whole[6]).group(1)
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
     assert whole[6] == (
@@ -90,33 +94,35 @@ def test_archive(spark):
 
 @pytest.mark.parametrize("file_bytes", [1, 1 << 30])
 def test_archive_files(spark, file_bytes):
-    """Files of gzip members: read as plain streams they are the records, and the index finds each one."""
+    """Read as plain streams, the files are the whole crawl: one record a row, each payload once."""
     copy = "ä\r\n\r\nWARC/1.1\r\n" * 20
-    rows = [(i, f"http://h/{i}", copy) for i in range(30)] + [(40, None, None), (41, "", "x"), (None, "u", copy), (42, "u", "long " * 100_000)]
+    rows = [(i, f"http://h/{i}", copy) for i in range(30)] + [(40, None, None), (41, "", "x"), (43, "", "x"), (None, "u", copy), (42, "u", "long " * 100_000)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "77")
-    records = warc.read_archive(spark, warc.write_archive(pages))
-    index = warc.write_warc(records, file_bytes)
-    back = warc.read_warc(index)
+    folder = warc.write_archive(pages, file_bytes=file_bytes)
     assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "77"
     spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
-    as_rows = lambda df: sorted(map(tuple, df.collect()), key=repr)
-    # The archive's time of writing is in the headers, so both sides are of one archive.
-    assert as_rows(back) == as_rows(records) and back.count() == len(rows)
-    placed = index.collect()
-    paths = {r.path for r in placed}
-    assert len(paths) == len(rows) if file_bytes == 1 else len(paths) < len(rows)
-    plain = b"".join(gzip.open(p.removeprefix("file:")).read() for p in sorted(paths))
-    assert sorted(plain.split(b"WARC/1.1\r\nWARC-Type")[1:]) == sorted(
-        bytes(r.record).removeprefix(b"WARC/1.1\r\nWARC-Type") for r in warc.record_bytes(records).collect()
-    )
-    assert warc.read_warc(warc.write_warc(records.limit(0))).count() == 0
-    first = next(r for r in placed if r.page_id == 0)
+    records = {r.page_id: (r.header, bytes(r.payload)) for r in warc.read_archive(spark, folder).collect()}
+    assert {k: p for k, (_, p) in records.items()} == {k: (h or "").encode() for k, _, h in rows}
+    listed = [*spark.read.parquet(f"{folder}/payloads").collect(), *spark.read.parquet(f"{folder}/others").collect()]
+    paths = {r.path for r in listed}
+    assert len(listed) == len(rows) and (len(paths) == len(rows) if file_bytes == 1 else len(paths) < len(rows))
+    plain, found = b"".join(gzip.open(p.removeprefix("file:")).read() for p in sorted(paths)), {}
+    while plain:  # as any reader of the format: header, then as many bytes as it says, then two line ends
+        header, _, rest = plain.partition(b"\r\n\r\n")
+        size = int(re.search(rb"Content-Length: (\d+)$", header).group(1))
+        name = re.search(rb"Record-ID: <urn:page:(\w+)>", header).group(1)
+        assert rest[size : size + 4] == b"\r\n\r\n"
+        found[None if name == b"unknown" else int(name)] = header.decode() + "\r\n\r\n", rest[:size].partition(b"\r\n\r\n")[2]
+        plain = rest[size + 4 :]
+    assert {k: h for k, (h, _) in found.items()} == {k: h for k, (h, _) in records.items()}
+    assert all(p == (b"" if "revisit" in h else records[k][1]) for k, (h, p) in found.items())
+    first = next(r for r in listed if r.page_id == 0)
     with open(first.path.removeprefix("file:"), "r+b") as file:
         file.seek(first.offset + first.length - 12)
         file.write(b"damaged")
     with pytest.raises(Exception, match="CRC|damaged|decompress|Error"):
-        warc.read_warc(index).collect()
+        warc.read_archive(spark, folder).collect()
 
 
 def test_url_lists(spark):

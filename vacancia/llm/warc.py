@@ -1,16 +1,16 @@
-"""A content-addressed WARC archive: payloads once, exact record headers apart, and the files made of them.
+"""A content-addressed archive in WARC files: payloads once, exact record headers apart.
 
-`payloads` holds each distinct payload under its SHA-256; `headers` holds every record's header text
-and the digest. Reading joins the two, rebuilds each record byte for byte, and checks the digest.
-A digest counts as verified if all payloads under it also agree in length and MD5; else the write
-fails. Equal payloads are combined on the map side before they are shuffled, and hot payloads are
-rows of a join that adaptive execution splits.
+Each distinct payload is stored once, in the response record of a `.warc.gz` file, a gzip member of its
+own. `payloads` lists under the SHA-256 where that member stands, `headers` holds every record's header
+text and the digest. Reading joins the two, reads the members and checks the digest. A digest counts
+as verified if all payloads under it also agree in length and MD5; else the write fails. Equal payloads
+are combined on the map side before they are shuffled, once; no later step shuffles a payload.
 
-`write_warc` writes the records as WARC files, each record a gzip member, with an index of offsets;
-`read_warc` reads them back by that index and gives revisits the payload of the response they refer to.
-The block of a response is a short HTTP head, as the pages carry none of their own, and the payload;
-that of a revisit is the head alone. Files are closed at `FILE_BYTES`. A task that is run again writes
-files under other names, and only those of the attempt that ended stand in the index.
+The other records follow in files of their own, so that the files together are the whole crawl: revisits
+without payload, and short responses. The block of a response is a short HTTP head, as the pages carry
+none of their own, and the payload; that of a revisit is the head alone. Files are closed at
+`FILE_BYTES`. A task that is run again writes files under other names, and only those of the attempt
+that ended are listed (`payloads`, `others`).
 
 Of records with equal payloads of at least `REVISIT_BYTES`, the one with the smallest key is the
 response and the others revisit it; shorter payloads are responses all. Null html is an empty
@@ -34,6 +34,7 @@ from vacancia.llm.token_files import open_folder
 
 REVISIT_BYTES = 100
 FILE_BYTES = 1 << 30
+LEVEL = 6
 #: Records of an Arrow batch: bounds what a Python worker holds of long pages.
 BATCH_RECORDS = 200
 END = "\r\n"
@@ -51,20 +52,22 @@ def _name(key: Column) -> Column:
     return F.concat(F.lit("urn:page:"), F.coalesce(key.cast("string"), F.lit("unknown")))
 
 
-def _header(revisit: Column) -> Column:
+def _header(revisit: Column, owner: Column) -> Column:
     def line(name: str, value: Column | str) -> Column:
         return F.concat(F.lit(f"{name}: "), F.lit(value) if isinstance(value, str) else value, F.lit(END))
 
-    named = lambda key: F.concat(F.lit("<"), _name(F.col(key)), F.lit(">"))
+    def named(key: Column) -> Column:
+        return F.concat(F.lit("<"), _name(key), F.lit(">"))
+
     url = F.when(F.length("url") > 0, _escaped(F.col("url"))).otherwise(_name(F.col("page_id")))
     return F.concat(
         F.lit(f"{VERSION}{END}"),
         line("WARC-Type", F.when(revisit, "revisit").otherwise("response")),
-        line("WARC-Record-ID", named("page_id")),
+        line("WARC-Record-ID", named(F.col("page_id"))),
         line("WARC-Date", F.col("date")),
         line("WARC-Target-URI", url),
         line("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("digest"))),
-        F.when(revisit, F.concat(line("WARC-Refers-To", named("owner")), line("WARC-Profile", PROFILE))).otherwise(""),
+        F.when(revisit, F.concat(line("WARC-Refers-To", named(owner)), line("WARC-Profile", PROFILE))).otherwise(""),
         line("Content-Type", "application/http; msgtype=response"),
         line("Content-Length", (F.when(revisit, 0).otherwise(F.col("bytes")) + len(HTTP_HEAD)).cast("string")),
         F.lit(END),
@@ -72,10 +75,16 @@ def _header(revisit: Column) -> Column:
 
 
 def write_archive(
-    pages: DataFrame, key: str = "page_id", url: str = "url", body: str = "html", date: str | None = None
+    pages: DataFrame,
+    key: str = "page_id",
+    url: str = "url",
+    body: str = "html",
+    date: str | None = None,
+    file_bytes: int = FILE_BYTES,
 ) -> str:
     """Write the archive of a crawl; returns its folder. `date` names a column with the time of capture."""
-    folder = new_folder(pages.sparkSession, "archive")
+    spark = pages.sparkSession
+    folder = new_folder(spark, "archive")
     written = F.lit(datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ"))
     captured = F.date_format(F.col(date), "yyyy-MM-dd'T'HH:mm:ss'Z'") if date else written
     records = pages.select(
@@ -83,73 +92,64 @@ def write_archive(
         F.col(url).alias("url"),
         F.coalesce(captured, written).alias("date"),
         F.coalesce(F.col(body), F.lit("")).cast("binary").alias("payload"),
-    ).withColumn("digest", F.sha2("payload", 256))
-    proof = F.concat_ws(" ", F.octet_length("payload"), F.md5("payload"))
-    stored = records.groupBy("digest").agg(
-        F.first("payload").alias("payload"), F.min("page_id").alias("owner"), F.min(proof).alias("low"), F.max(proof).alias("high")
+    ).withColumns({"digest": F.sha2("payload", 256), "bytes": F.octet_length("payload")})
+    proof = F.concat_ws(" ", "bytes", F.md5("payload"))
+    about = F.struct("page_id", "url", "date")
+    stored_once = records.groupBy("digest").agg(
+        F.first("payload").alias("payload"),
+        F.coalesce(F.min(F.when(F.col("page_id").isNotNull(), about)), F.min(about)).alias("first"),
+        F.min(proof).alias("low"),
+        F.max(proof).alias("high"),
     )
     agreed = F.when(F.col("low") == F.col("high"), F.col("payload")).otherwise(
         F.raise_error(F.concat(F.lit("payloads differ under digest "), F.col("digest"))).cast("binary")
     )
-    stored = stored.select("digest", agreed.alias("payload"), "owner")
-    stored.write.option("compression", "zstd").parquet(f"{folder}/payloads")
-    owners = pages.sparkSession.read.parquet(f"{folder}/payloads").select("digest", "owner")
-    heads = records.select("page_id", "url", "date", "digest", F.octet_length("payload").alias("bytes")).join(owners, "digest")
-    revisit = (F.col("bytes") >= REVISIT_BYTES) & F.col("owner").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("owner"))
-    heads = heads.select("page_id", "digest", _header(revisit).alias("header"))
+    owned = stored_once.select("digest", agreed.alias("payload"), "first.*").withColumn("bytes", F.octet_length("payload"))
+    whole = _record(_header(F.lit(False), F.col("page_id")), F.col("payload"))
+    places = write_members(owned.select("page_id", "digest", whole.alias("record")), folder, "payloads", file_bytes)
+
+    owners = places.select("digest", F.col("page_id").alias("owner"))
+    short = F.when(F.col("bytes") < REVISIT_BYTES, F.col("payload")).alias("short")
+    heads = records.select("page_id", "url", "date", "digest", "bytes", short).join(owners, "digest")
+    same = F.col("page_id").eqNullSafe(F.col("owner"))
+    revisit = (F.col("bytes") >= REVISIT_BYTES) & F.col("owner").isNotNull() & ~same
+    heads = heads.select("page_id", "digest", _header(revisit, F.col("owner")).alias("header"), "short", (~same).alias("other"))
     heads.write.option("compression", "zstd").parquet(f"{folder}/headers")
+    others = spark.read.parquet(f"{folder}/headers").filter("other")
+    others = others.select("page_id", "digest", _record(F.col("header"), F.coalesce("short", F.lit(b""))).alias("record"))
+    write_members(others, folder, "others", file_bytes)
     return folder
 
 
-def read_archive(spark: SparkSession, folder: str) -> DataFrame:
-    """page_id, header and payload of every record; a payload that fails its digest stops the job."""
-    heads = spark.read.parquet(f"{folder}/headers")
-    payloads = spark.read.parquet(f"{folder}/payloads").select("digest", "payload")
-    joined = heads.join(payloads, "digest")
-    sound = F.when(F.sha2("payload", 256) == F.col("digest"), F.col("payload")).otherwise(
-        F.raise_error(F.concat(F.lit("damaged payload "), F.col("digest"))).cast("binary")
-    )
-    return joined.select("page_id", "header", sound.alias("payload"))
-
-
-def record_bytes(records: DataFrame) -> DataFrame:
-    """page_id and the record as it stands in a WARC file, its digest, and whether it is a revisit.
-
-    A revisit does not repeat the payload.
-    """
-    revisit = _field("WARC-Type", r"(\w+)") == "revisit"
-    payload = F.when(revisit, F.lit(b"")).otherwise(F.col("payload"))
-    whole = F.concat(F.col("header").cast("binary"), F.lit(HTTP_HEAD).cast("binary"), payload, F.lit(END + END).cast("binary"))
-    digest = _field("WARC-Payload-Digest", r"sha256:(\w+)")
-    return records.select("page_id", whole.alias("record"), digest.alias("digest"), revisit.alias("revisit"))
+def _record(header: Column, payload: Column) -> Column:
+    """A record as it stands in a file; a revisit has no payload."""
+    return F.concat(header.cast("binary"), F.lit(HTTP_HEAD).cast("binary"), payload, F.lit(END + END).cast("binary"))
 
 
 INDEX = pa.schema(
-    [("page_id", pa.int64()), ("digest", pa.string()), ("revisit", pa.bool_()),
-     ("path", pa.string()), ("offset", pa.int64()), ("length", pa.int64())]
-)
-INDEX_SCHEMA = "page_id long, digest string, revisit boolean, path string, offset long, length long"
+    [("page_id", pa.int64()), ("digest", pa.string()), ("path", pa.string()), ("offset", pa.int64()), ("length", pa.int64())]
+)
+INDEX_SCHEMA = "page_id long, digest string, path string, offset long, length long"
 RECORD = pa.schema([("page_id", pa.int64()), ("header", pa.string()), ("payload", pa.binary())])
 
 
-def write_warc(records: DataFrame, file_bytes: int = FILE_BYTES) -> DataFrame:
-    """Write records as `.warc.gz` files; returns the stored index: where each record stands, and its digest."""
-    spark = records.sparkSession
-    folder = new_folder(spark, "warc")
-    files, base = open_folder(folder)
+def write_members(records: DataFrame, folder: str, name: str, file_bytes: int = FILE_BYTES) -> DataFrame:
+    """Write records (page_id, digest, record) as `.warc.gz` files; returns the stored list of where each stands."""
+    target = f"{folder}/{name}-files"
+    files, base = open_folder(target)
     files.create_dir(base, recursive=True)
 
     def run(batches):
-        target, path, out, at = open_folder(folder), "", None, 0
+        store, path, out, at = open_folder(target), "", None, 0
         for batch in batches:
             rows = []
-            for row in zip(*(batch.column(c).to_pylist() for c in ("page_id", "digest", "revisit", "record"))):
+            for key, digest, record in zip(*(batch.column(c).to_pylist() for c in ("page_id", "digest", "record"))):
                 if out is None:
                     path, at = f"{uuid.uuid4().hex}.warc.gz", 0
-                    out = target[0].open_output_stream(f"{target[1]}/{path}", compression=None, buffer_size=1 << 20)
-                member = gzip.compress(row[3], 1, mtime=0)
+                    out = store[0].open_output_stream(f"{store[1]}/{path}", compression=None, buffer_size=1 << 20)
+                member = gzip.compress(record, LEVEL, mtime=0)
                 out.write(member)
-                rows.append((*row[:3], f"{folder}/{path}", at, len(member)))
+                rows.append((key, digest, f"{target}/{path}", at, len(member)))
                 at += len(member)
                 if at >= file_bytes:
                     out.close()
@@ -158,8 +158,8 @@ def write_warc(records: DataFrame, file_bytes: int = FILE_BYTES) -> DataFrame:
         if out is not None:
             out.close()
 
-    with arrow_batches(spark, BATCH_RECORDS):
-        return stored(record_bytes(records).mapInArrow(run, INDEX_SCHEMA), f"{folder}/index")
+    with arrow_batches(records.sparkSession, BATCH_RECORDS):
+        return stored(records.mapInArrow(run, INDEX_SCHEMA), f"{folder}/{name}")
 
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
@@ -202,34 +202,27 @@ SPLIT_BYTES = 64 << 20
 BATCH_BYTES = 16 << 20
 
 
-def read_warc(index: DataFrame) -> DataFrame:
-    """page_id, header and whole payload of every record of the files.
+def read_archive(spark: SparkSession, folder: str) -> DataFrame:
+    """page_id, header and payload of every record; a payload that fails its digest stops the job.
 
-    The index rows of revisits join those of the responses by digest, and each task then reads the members
-    of its rows and of the responses they revisit: no payload is shuffled. Tasks follow the records' own
-    places, so that the revisits of one hot response are read by many. A payload that is missing or fails its digest stops the job.
+    Headers meet the places of their payloads by digest; each task then reads the members of a range of
+    places. Ranges end in the record's key and header, so the records of one hot payload are read by many.
     """
-    place = F.struct("path", "offset", "length")
-    given = index.filter(~F.col("revisit")).groupBy("digest").agg(F.min(place).alias("source"))
-    revisits = index.filter("revisit").join(given, "digest", "left")
-    rows = index.filter(~F.col("revisit")).withColumn("source", place).unionByName(revisits).drop("revisit")
-    total = index.agg(F.sum("length")).first()[0] or 0
-    tasks = max(index.sparkSession.sparkContext.defaultParallelism, total // SPLIT_BYTES + 1)
-    block = F.floor(F.col("offset") / F.lit(SPLIT_BYTES // 16))
-    rows = rows.repartition(tasks, "path", block).sortWithinPartitions("path", "source.path", "source.offset", "offset")
+    heads = spark.read.parquet(f"{folder}/headers").select("page_id", "header", "digest")
+    places = spark.read.schema(INDEX_SCHEMA).parquet(f"{folder}/payloads").drop("page_id")
+    rows = heads.join(places, "digest")
+    total = rows.agg(F.sum("length")).first()[0] or 0
+    tasks = max(spark.sparkContext.defaultParallelism, total // SPLIT_BYTES + 1)
+    order = ["path", "offset", "page_id", "header"]
+    rows = rows.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
 
     def run(batches):
-        own, other = _Reader(), _Reader()
+        reader = _Reader()
         for batch in batches:
             found, size = [], 0
             for row in batch.to_pylist():
-                at, source = (row["path"], row["offset"], row["length"]), row["source"]
-                if source is None:
-                    raise ValueError(f"no response for digest {row['digest']}")
-                header, payload = own.read(*at)
-                if (source["path"], source["offset"]) != at[:2]:
-                    payload = other.read(source["path"], source["offset"], source["length"])[1]
-                found.append((row["page_id"], header, payload))
+                payload = reader.read(row["path"], row["offset"], row["length"])[1]
+                found.append((row["page_id"], row["header"], payload))
                 size += len(payload)
                 if size >= BATCH_BYTES:
                     yield _batch(found, RECORD)
