@@ -6,12 +6,9 @@ import os
 import re
 import tempfile
 import zipfile
-from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 SESSION_SETTINGS = {
@@ -99,10 +96,3 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
-def together(spark: SparkSession, steps: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
-    """Run independent steps that start jobs of their own at the same time."""
-    with ThreadPoolExecutor(max_workers=len(steps)) as pool:
-        running = {name: pool.submit(inheritable_thread_target(spark)(step)) for name, step in steps.items()}
-        return {name: result.result() for name, result in running.items()}
