@@ -97,3 +97,47 @@ def test_effects_compose():
         parts.add(text[:cut], None)
         parts.add(text[cut:], None)
         assert parts.row() == whole.row()
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().analyzed().toString()
+
+
+def test_any_number_of_files(spark, tmp_path):
+    """Names of files stand in no expression, and a file costs no group of its own."""
+    names = [f"file{i:03d}" for i in range(60)]
+    for i, name in enumerate(names):
+        records = [{"id": f"{i}-{k}", "title": "t"} for k in range(3)]
+        text = json.dumps(records) if i % 2 else json.dumps(records, indent=2)
+        put(tmp_path, f"{name}.json", text.replace('"id": "5-1"', '"id": "5-1'))
+    pieces = L.read_pieces(spark, f"{tmp_path}/*.json")
+    assert not any(name in plan_of(pieces) for name in names)
+    assert "InPandas" not in plan_of(J._starts(J._effects(J.fragments(spark, f"{tmp_path}/*.json"))))
+    rows = L.parse_pieces(pieces, S.RAW_FLAT_B)
+    assert rows.filter("id IS NOT NULL").count() == 179 and rows.filter("_corrupt_record IS NOT NULL").count() == 1
+
+
+def test_certain_beginnings_in_one_scan():
+    """A chunk with many beginnings that are certain is what its parts are one after the other."""
+    text = (PLAIN.replace('"url": "u7"', '"url": "u7').replace('"url": "u9"', '"url": "u9", "x": {')).encode()
+    marker = J._marker(J._first_keys(text))
+    whole, parts = J._Cutter(0, 0, marker), J._Cutter(0, 0, marker)
+    whole.add(text)
+    edges = [0, *J._certain(text, marker).tolist(), len(text)]
+    assert len(edges) == 201
+    for begin, end in zip(edges, edges[1:]):
+        if begin:
+            parts._close()
+            parts.inside, parts.depth = 0, 1
+        parts.marker = None
+        parts.add(text[begin:end])
+    assert whole.out == parts.out and len(whole.out) == 200
+    assert (whole.inside, whole.depth) == (parts.inside, parts.depth) == (0, 0)
+
+
+@pytest.mark.parametrize("count", [2000, 3500])
+def test_text_scanned_in_pieces(spark, tmp_path, count):
+    """A block of more bytes than are scanned at once, in one block of one file."""
+    records = [{"id": i, "title": "x" * 900} for i in range(count)]
+    put(tmp_path, "one.json", json.dumps(records).replace('"id": 7,', '"id": "7,'))
+    assert read(spark, tmp_path) == ({"one": (count - 1, count - 1, 1)}, set())

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vacancia import fixed_values as V
+from vacancia.context import materialize
 from vacancia.operators.dedup import latest_by
 from vacancia.sources.json_split import FILE_COLUMNS, fragments, split_records
 
@@ -80,13 +81,14 @@ def parse_pieces(pieces: DataFrame, schema: T.StructType, text_col: str = "value
     )
 
 
-def other_layouts(spark: SparkSession, paths: str | list[str]) -> list[str]:
-    """Files that do not begin like an array indented by two; seen from their first characters."""
+def layouts(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """_source_file of every file with text, and whether it begins like an array `indented` by two."""
     first = fragments(spark, paths).filter("_block = 0").select(
-        "_source_file", F.substring("value", 1, 64).cast("string").alias("value"), F.monotonically_increasing_id().alias("_row")
+        "_source_file",
+        F.substring("value", 1, 64).cast("string").rlike(INDENTED).alias("indented"),
+        F.monotonically_increasing_id().alias("_row"),
     )
-    heads = first.groupBy("_source_file").agg(F.min_by("value", "_row").alias("head"))
-    return [r["_source_file"] for r in heads.filter(~F.col("head").rlike(INDENTED)).collect()]
+    return first.groupBy("_source_file").agg(F.min_by("indented", "_row").alias("indented"))
 
 
 def read_pieces(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -94,12 +96,15 @@ def read_pieces(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
     The files' layouts are looked at when this is called.
     """
-    others = other_layouts(spark, paths)
-    pieces = _separated(spark, paths)
-    if not others:
-        return pieces
-    split = split_records(spark, paths, others)
-    return pieces.filter(~F.col("_source_file").isin(others)).unionByName(split)
+    seen = materialize(layouts(spark, paths))
+    files = {row["indented"]: row["count"] for row in seen.groupBy("indented").count().collect()}
+    if not files.get(False):
+        return _separated(spark, paths)
+    others = seen.filter("NOT indented").select("_source_file")
+    if not files.get(True):
+        return split_records(spark, paths)
+    split = split_records(spark, paths, others, files[False])
+    return _separated(spark, paths).join(others, "_source_file", "left_anti").select(*split.columns).unionByName(split)
 
 
 def _separated(spark: SparkSession, paths: str | list[str]) -> DataFrame:
