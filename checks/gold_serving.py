@@ -41,7 +41,13 @@ LANDED_LIST = ", ".join(
 
 def star(spark: SparkSession, sf_dir: str) -> G.Gold:
     """The star schema after a first load of the whole Silver."""
-    return G.load_increment(materialize(silver(spark, sf_dir)), G.empty_gold(spark))
+    return star_and_silver(spark, sf_dir)[0]
+
+
+def star_and_silver(spark: SparkSession, sf_dir: str) -> tuple[G.Gold, DataFrame]:
+    """The star schema and the Silver rows it was loaded from, which are derived once."""
+    rows = materialize(silver(spark, sf_dir))
+    return G.load_increment(rows, G.empty_gold(spark)), rows
 
 
 # --- increment ----------------------------------------------------------------------------------
@@ -206,8 +212,8 @@ def _(spark, sf_dir):
 
 @check("i8_resolve_keys", f"{Q.WITH_STAR} SELECT * FROM ({Q.candidates()})")
 def _(spark, sf_dir):
-    gold = star(spark, sf_dir)
-    return D.resolve_keys(D.prepare(silver(spark, sf_dir)), gold.dims)
+    gold, rows = star_and_silver(spark, sf_dir)
+    return D.resolve_keys(D.prepare(rows), gold.dims)
 
 
 @check(
@@ -233,16 +239,16 @@ def _(spark, sf_dir):
 
 @check("i11_explode_skills", f"{Q.WITH_STAR} SELECT job_posting_key, skill_name FROM skill_rows")
 def _(spark, sf_dir):
-    gold = star(spark, sf_dir)
-    posted = gold.fact.select("job_posting_key", "job_id").join(silver(spark, sf_dir).select("job_id", "skills"), "job_id")
+    gold, rows = star_and_silver(spark, sf_dir)
+    posted = gold.fact.select("job_posting_key", "job_id").join(rows.select("job_id", "skills"), "job_id")
     return D.explode_skills(posted.select("job_posting_key", "skills"))
 
 
 @check("i12_bridge", f"{Q.WITH_STAR} SELECT job_posting_key, skill_key FROM links")
 def _(spark, sf_dir):
     """The links of one skill exist already; the bridge adds the others."""
-    gold = star(spark, sf_dir)
-    posted = gold.fact.select("job_posting_key", "job_id").join(silver(spark, sf_dir).select("job_id", "skills"), "job_id")
+    gold, rows = star_and_silver(spark, sf_dir)
+    posted = gold.fact.select("job_posting_key", "job_id").join(rows.select("job_id", "skills"), "job_id")
     skills = D.explode_skills(posted.select("job_posting_key", "skills"))
     held = gold.links.filter("skill_key = 1")
     return held.unionByName(D.bridge(skills, gold.dims["skill"], held))

@@ -154,3 +154,12 @@ def test_half_batches_equal_one(spark, tmp_path, silver):
     B.upsert_table(spark, two, silver.filter("collected_at > '2028-01-01'"), ["job_id"], 4)
     a, b = (set(map(tuple, B.read_keyed(spark, p, S.SILVER).collect())) for p in (one, two))
     assert a == b
+
+
+def test_resolved_keys_derive_silver_once(spark, sf, monkeypatch):
+    from checks import all_queries, gold_serving
+
+    calls, silver = [], gold_serving.silver
+    monkeypatch.setattr(gold_serving, "silver", lambda *args: calls.append(1) or silver(*args))
+    all_queries()["i8_resolve_keys"](spark, sf)
+    assert len(calls) == 1
