@@ -236,3 +236,18 @@ def test_mixed_lists_keep_their_objects(spark, tmp_path):
         (folder / "wuzzuf_1.json").write_text(json.dumps(records, indent=indent), encoding="utf8")
         got = {r["raw_job_id"]: (r["raw_skills"], r["raw_employment_type"]) for r in landed_postings(spark, str(folder)).collect()}
         assert got == {k: (skills, kind) for k, (_, _, skills, kind) in mixed.items()}
+
+
+def test_ends_of_pieces(spark):
+    """Blank pieces, openings and closing brackets are told from the ends of a piece, however long its white space is."""
+    space = " \t\r\n\x0b\f﻿"
+    texts = ["", space, space + "]" + space, "]]", "] ]", " ", "x", space + '[{"id": 1}', '"id": 1', " " * 200_000 + "x", "\n]\n", '{"a": "\n]x"}']
+    from vacancia.sources import landing as L
+
+    value = F.col("value")
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, value string").select(
+        "i", L._is_blank(value).alias("a"), L._is_blank(value, closed=False).alias("b"), L._array_text(value).startswith("[{").alias("c")
+    )
+    got = {r["i"]: (r["a"], r["b"], r["c"]) for r in rows.collect()}
+    assert [i for i in got if got[i][0]] == [0, 1, 2, 10] and [i for i in got if got[i][1]] == [0, 1]
+    assert [i for i in got if not got[i][2]] == [7]

@@ -151,3 +151,21 @@ def test_landed_batches_reach_silver_once(spark, tmp_path, monkeypatch):
     put(d["landing"], "tanqeeb_6.json", [posting(6)])
     land(days[1])
     assert load() == ([f"{prefix}.2"], [*urls, "https://h/6"], [["title"]])
+
+
+def test_a_landed_batch_is_parsed_once(spark, tmp_path, monkeypatch):
+    """Bronze and quarantine are written from the same parsed pieces."""
+    landing, bronze, kept, state = (str(tmp_path / n) for n in ("landing", "bronze", "kept", "state"))
+    put(landing, "tanqeeb_1.json", [posting(i) for i in range(5)])
+    from vacancia.plans import bronze as P
+
+    calls, parse = [], K.parse_pieces
+
+    def counted(*args):
+        calls.append(1)
+        return parse(*args)
+
+    monkeypatch.setattr(K, "parse_pieces", counted)
+    monkeypatch.setattr(P, "parse_pieces", counted)
+    K.load_landing(spark, landing, V.FILE_PREFIXES[2], bronze, kept, state, CTX).awaitTermination()
+    assert B.read_table(spark, bronze, S.BRONZE).count() == 5 and len(calls) == 1

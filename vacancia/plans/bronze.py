@@ -69,9 +69,13 @@ def latest_file(spark: SparkSession, paths: list[str], prefix: str) -> DataFrame
     )
 
 
-def lost_pieces(pieces: DataFrame, schema: T.StructType) -> DataFrame:
-    """_source_file, reason and text of what cannot be read as records: broken pieces, cut-off files."""
-    broken = parse_pieces(pieces, schema).filter("_corrupt_record IS NOT NULL")
+def lost_pieces(pieces: DataFrame, schema: T.StructType, parsed: DataFrame | None = None) -> DataFrame:
+    """_source_file, reason and text of what cannot be read as records: broken pieces, cut-off files.
+
+    `parsed` is what `parse_pieces` made of the pieces, if it is at hand.
+    """
+    parsed = parse_pieces(pieces, schema) if parsed is None else parsed
+    broken = parsed.filter("_corrupt_record IS NOT NULL")
     broken = broken.select("_source_file", F.lit("broken").alias("reason"), "_corrupt_record")
     cut = cut_off_files(pieces).select("_source_file", F.lit("cut off").alias("reason"))
     return broken.unionByName(cut, allowMissingColumns=True)

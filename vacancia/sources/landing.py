@@ -15,6 +15,8 @@ from vacancia.sources.json_split import FILE_COLUMNS, fragments, split_records
 # is always the same. Reading with that text as line separator lets Spark split one large file over
 # many tasks without looking at it twice. Files that begin otherwise go to `json_split`.
 RECORD_SEPARATOR = "\n  },\n  {"
+#: White space at one place of a piece, taken whole: the patterns look at a piece's ends and never go back.
+_SPACE = r"[\s\x{FEFF}]*+"
 INDENTED = r"^\x{FEFF}?\[\n  \{\n"
 
 
@@ -53,13 +55,13 @@ def _array_text(piece: Column) -> Column:
     Inner pieces lost their opening and closing brackets to the separator. The JSON functions stop
     at the end of the first value, so closing a piece that is already closed does no harm.
     """
-    opened = F.regexp_replace(piece, r"^[\s\x{FEFF}]+", "").startswith("[")
+    opened = piece.rlike(rf"\A{_SPACE}\[")
     return F.concat(F.when(opened, F.lit("")).otherwise(F.lit("[{")), piece, F.lit("}]"))
 
 
 def _is_blank(piece: Column, closed: bool = True) -> Column:
     """White space alone, or with the bracket that closes the array."""
-    return F.regexp_replace(piece, r"[\s\x{FEFF}]+", "").isin("", *["]"] * closed)
+    return piece.rlike(rf"\A{_SPACE}{r'\]?+' * closed}{_SPACE}\z")
 
 
 def parse_pieces(pieces: DataFrame, schema: T.StructType, text_col: str = "value") -> DataFrame:
@@ -122,7 +124,10 @@ def _separated(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 def cut_off_files(pieces: DataFrame) -> DataFrame:
     """Files whose array is never closed: an upload that broke off."""
-    closed = F.col("value").rlike(r"(^|[\r\n])\][\s\x{FEFF}]*$")
+    # Most pieces are records: the pattern is tried at every place, so only where the bracket may stand.
+    value = F.col("value")
+    bracket = value.startswith("]") | value.contains("\n]") | value.contains("\r]")
+    closed = bracket & value.rlike(r"(^|[\r\n])\][\s\x{FEFF}]*$")
     blank = _is_blank(F.col("value"), closed=False)
     files = pieces.filter(~blank).groupBy("_source_file").agg(F.bool_or(closed).alias("_whole"))
     return files.filter(~F.col("_whole")).select("_source_file")

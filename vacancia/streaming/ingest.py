@@ -138,9 +138,14 @@ def load_landing(
             return
         micro = _micro(session, bronze, ctx, prefix, epoch)
         pieces = read_pieces(session, paths)
-        write_batch(with_ingest_metadata(lost_pieces(pieces, schema), micro), quarantine, micro)
-        records = mapping(parse_pieces(pieces, schema).filter("_corrupt_record IS NULL"))
-        write_batch(with_ingest_metadata(records, micro), bronze, micro)
+        # Parsed once for both outputs; the files are still there should a cached part be lost.
+        parsed = parse_pieces(pieces, schema).select(*schema.names, "_corrupt_record", "_source_file").persist()
+        try:
+            write_batch(with_ingest_metadata(lost_pieces(pieces, schema, parsed), micro), quarantine, micro)
+            records = mapping(parsed.filter("_corrupt_record IS NULL"))
+            write_batch(with_ingest_metadata(records, micro), bronze, micro)
+        finally:
+            parsed.unpersist()
 
     return _start(file_stream(spark, landing, pattern or _files_of(prefix), archive), checkpoint, write)
 
