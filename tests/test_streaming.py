@@ -169,3 +169,9 @@ def test_a_landed_batch_is_parsed_once(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(P, "parse_pieces", counted)
     K.load_landing(spark, landing, V.FILE_PREFIXES[2], bronze, kept, state, CTX).awaitTermination()
     assert B.read_table(spark, bronze, S.BRONZE).count() == 5 and len(calls) == 1
+
+
+def test_files_are_listed_by_few_tasks(spark):
+    """Listing named files costs a few tasks a core, whatever their number."""
+    tasks = int(spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism"))
+    assert tasks == 4 * spark.sparkContext.defaultParallelism

@@ -16,6 +16,7 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
+LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
 
 
 @dataclass(frozen=True)
@@ -42,6 +43,8 @@ def configure(spark: SparkSession) -> SparkSession:
     """Pin the settings results depend on (time zone) and the adaptive ones skew depends on."""
     for key, value in SESSION_SETTINGS.items():
         spark.conf.set(key, value)
+    # Named files are listed by a job whenever they are read: by a few tasks a core, not by one task a file.
+    spark.conf.set(LISTING_TASKS, str(4 * spark.sparkContext.defaultParallelism))
     ship(spark)
     return spark
 
